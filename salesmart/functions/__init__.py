@@ -1,4 +1,4 @@
-from .dates import excel_date, month_label, month_start, normalise_date_text
+from .dates import clean_excel_date, excel_date, month_label, month_start, normalise_date_text
 from .numbers import (
     exact_ratio,
     fixed_text,
@@ -24,6 +24,7 @@ from .text import (
 __all__ = [
     "blank_to_null",
     "display_name",
+    "clean_excel_date",
     "exact_ratio",
     "excel_date",
     "fixed_text",

@@ -23,7 +23,11 @@ def _serial_day(text: Column) -> Column:
 
 def excel_date(c: Column) -> Column:
     """Serial-number or text date. Blank is NULL; anything unreadable fails the job."""
-    text = blank_to_null(c)
+    return clean_excel_date(blank_to_null(c))
+
+
+def clean_excel_date(text: Column) -> Column:
+    """``excel_date`` of text that is already trimmed, with blank as NULL."""
     parsed = F.when(text.rlike(SERIAL_PATTERN), _serial_day(text)).otherwise(
         F.coalesce(*[F.try_to_date(text, f) for f in TEXT_FORMATS])
     )
@@ -31,9 +35,8 @@ def excel_date(c: Column) -> Column:
     return F.when(text.isNull(), F.lit(None).cast("date")).otherwise(F.coalesce(parsed, problem))
 
 
-def normalise_date_text(c: Column) -> Column:
-    """Serial numbers become ISO text; every other text is kept as it is."""
-    text = blank_to_null(c)
+def normalise_date_text(text: Column) -> Column:
+    """Serial numbers become ISO text; every other (trimmed) text is kept as it is."""
     problem = F.raise_error(F.concat(F.lit("Serial date out of range: "), text)).cast("string")
     return F.when(text.rlike(SERIAL_PATTERN), F.coalesce(_serial_day(text).cast("string"), problem)).otherwise(text)
 

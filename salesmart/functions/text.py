@@ -45,14 +45,15 @@ def json_text_map(text: Column) -> Column:
 
 
 def _json_string(c: Column) -> Column:
-    boxed = F.to_json(F.array(c))
-    return F.substring(boxed, F.lit(2), F.length(boxed) - 2)
+    """JSON literal of one text; the general escape runs only where a character needs it."""
+    escaped = F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    return F.when(c.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
 
 def json_object_text(values: Column) -> Column:
     """Map of text to text -> JSON object with sorted keys, ``", "`` and ``": "`` separators."""
     parts = F.transform(
-        F.array_sort(F.map_entries(values)),
+        F.sort_array(F.map_entries(values)),
         lambda e: F.concat(_json_string(e["key"]), F.lit(": "), _json_string(e["value"])),
     )
     return F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}"))

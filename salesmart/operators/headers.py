@@ -7,29 +7,33 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
-from ..functions import blank_to_null, excel_date, json_object_text, strip
+from ..functions import clean_excel_date, json_object_text, strip
 
 
-def header_positions(cells: Column) -> Column:
-    """Cells of a header row -> array of (name, idx), in order of first appearance.
+def with_header_positions(df: DataFrame, cells: str = "cells") -> DataFrame:
+    """Add ``headers`` (names in order of first appearance) and ``positions`` (name, idx).
 
-    Blank names are dropped; a repeated name reads its last column.
+    Blank names are dropped; a repeated name reads its last column. Each step is
+    a column of its own, so the lambdas read arrays instead of rebuilding them.
     """
-    named = F.filter(
-        F.transform(
-            F.array_sort(F.map_entries(cells)),
-            lambda e: F.struct(strip(e["value"]).alias("name"), e["key"].alias("idx")),
-        ),
-        lambda h: h["name"] != "",
+    named = (
+        df.withColumn("_columns", F.sort_array(F.map_keys(cells)))
+        .withColumn("_names", F.transform("_columns", lambda k: strip(F.element_at(cells, k))))
+        .withColumns(
+            {
+                "_backwards": F.reverse("_names"),
+                "headers": F.array_remove(F.array_distinct("_names"), ""),
+            }
+        )
     )
-    names = F.array_distinct(F.transform(named, lambda h: h["name"]))
-    return F.transform(
-        names,
+    positions = F.transform(
+        "headers",
         lambda n: F.struct(
             n.alias("name"),
-            F.array_max(F.transform(F.filter(named, lambda h: h["name"] == n), lambda h: h["idx"])).alias("idx"),
+            F.element_at(F.col("_columns"), -F.array_position(F.col("_backwards"), n).cast("int")).alias("idx"),
         ),
     )
+    return named.withColumn("positions", positions).drop("_columns", "_names", "_backwards")
 
 
 def _first_present(headers: Column, variants: tuple[str, ...]) -> Column:
@@ -44,7 +48,8 @@ def resolve_headers(df: DataFrame, contract: Contract, headers: str = "headers",
     and only fields with a single accepted header are reported as missing.
     """
     present = F.col(headers)
-    matched = {f: _first_present(present, f.headers) for f in contract.fields}
+    chosen = {f"_match_{i}": _first_present(present, f.headers) for i, f in enumerate(contract.fields)}
+    matched = dict(zip(contract.fields, [F.col(c) for c in chosen], strict=True))
     pairs = F.array(*[F.struct(F.lit(f.name).alias("key"), h.alias("value")) for f, h in matched.items()])
     mapping = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
     missing = F.array_compact(
@@ -56,7 +61,7 @@ def resolve_headers(df: DataFrame, contract: Contract, headers: str = "headers",
             ]
         )
     )
-    resolved = df.withColumn("missing_headers", missing)
+    resolved = df.withColumns(chosen).withColumn("missing_headers", missing)
     if strict:
         problem = F.concat(F.lit("Missing expected columns: "), F.array_join("missing_headers", ", "))
         resolved = resolved.withColumn(
@@ -64,9 +69,12 @@ def resolve_headers(df: DataFrame, contract: Contract, headers: str = "headers",
         )
     else:
         resolved = resolved.withColumn("mapping", mapping)
-    return resolved.withColumn(
-        "unexpected_headers", F.array_except(present, F.map_values("mapping"))
-    ).withColumn("source_header_variant", header_variant_json(F.col("mapping")))
+    return resolved.withColumns(
+        {
+            "unexpected_headers": F.array_except(present, F.map_values("mapping")),
+            "source_header_variant": header_variant_json(F.col("mapping")),
+        }
+    ).drop(*chosen)
 
 
 def header_variant_json(mapping: Column) -> Column:
@@ -90,18 +98,30 @@ def not_blank(payload: Column) -> Column:
     return F.exists(F.map_values(payload), lambda v: v != "")
 
 
-def drop_blank_rows(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
-    return df.filter(not_blank(F.col(payload)))
+def drop_blank_rows(df: DataFrame, payload: Column) -> DataFrame:
+    """Add ``raw_payload`` and keep the rows that have any text in it.
+
+    Exploding the filtered one-element array builds each payload once; a plain
+    filter would be pushed below the projection and build it a second time.
+    """
+    return df.withColumn("raw_payload", F.explode(F.filter(F.array(payload), not_blank)))
 
 
 def extract_raw_rows(rows: DataFrame, positions: str = "positions", cells: str = "cells") -> DataFrame:
     """Data rows that carry their sheet's header positions -> rows with ``raw_payload``, blanks dropped."""
-    with_payload = rows.withColumn("raw_payload", row_payload(F.col(positions), F.col(cells)))
-    return drop_blank_rows(with_payload).drop(positions, cells)
+    return drop_blank_rows(rows, row_payload(F.col(positions), F.col(cells))).drop(positions, cells)
+
 
+def mapped_values(df: DataFrame, contract: Contract) -> DataFrame:
+    """Add one column per canonical field, blank as NULL, from a trimmed payload.
 
-def mapped_value(payload: Column, mapping: Column, field: str) -> Column:
-    return blank_to_null(F.try_element_at(payload, F.try_element_at(mapping, F.lit(field))))
+    Two steps, so that each map is searched once per field.
+    """
+    found = {
+        name: F.try_element_at("raw_payload", F.try_element_at("mapping", F.lit(name)))
+        for name in contract.field_names
+    }
+    return df.withColumns(found).withColumns({n: F.nullif(F.col(n), F.lit("")) for n in found})
 
 
 def extra_payload(payload: Column, mapping: Column) -> Column:
@@ -118,12 +138,12 @@ def preview(df: DataFrame, contract: Contract, by: list[str], n: int = 5) -> Dat
     ``n`` rows per sheet before the shuffle.
     """
     window = W.partitionBy(*by).orderBy("row_number")
-    first = df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n)
+    first = mapped_values(df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n), contract)
     values = []
     for name in contract.field_names:
-        value = mapped_value(F.col("raw_payload"), F.col("mapping"), name)
+        value = F.col(name)
         if name == "sales_date":
             serial = value.rlike(r"^[0-9]+(\.[0-9]+)?$")
-            value = F.when(serial, excel_date(F.when(serial, value)).cast("string")).otherwise(value)
+            value = F.when(serial, clean_excel_date(F.when(serial, value)).cast("string")).otherwise(value)
         values.append(F.coalesce(value, F.lit("")).alias(name))
     return first.select(*by, F.col("row_number").cast("string").alias("source_row_number"), *values)

@@ -191,11 +191,11 @@ def batch_ids(files: DataFrame, by: list[str], digest_rows: int = DIGEST_ROWS) -
             F.pmod(F.xxhash64("workbook_identifier"), parts.cast("bigint"))
         ),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("workbook_identifier", line.alias("line"))))
+    ordered = F.sort_array(F.collect_list(F.struct("workbook_identifier", line.alias("line"))))
     text = F.array_join(F.transform(ordered, lambda e: e["line"]), "\n")
     per_part = split.groupBy(*by, "_part").agg(F.first("_size").alias("_size"), text.alias("_text"))
     lines = F.when(F.col("_size") <= digest_rows, F.col("_text")).otherwise(F.sha2("_text", 256))
-    joined = F.array_join(F.array_sort(F.collect_list("_line")), "\n")
+    joined = F.array_join(F.sort_array(F.collect_list("_line")), "\n")
     whole = F.concat(joined, F.lit(f"\ndataset_version={DATASET_VERSION}"))
     digested = per_part.withColumn("_line", lines).groupBy(*by).agg(F.count(F.lit(1)).alias("_parts"), whole.alias("_w"))
     return digested.select(*by, F.substring(F.sha2("_w", 256), 1, 16).alias("batch_id"))

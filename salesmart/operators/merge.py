@@ -38,6 +38,20 @@ def upsert(
     return merged.filter(_valid_key(keys)).select(*wanted)
 
 
+def newest_import(rows: DataFrame, keys: list[str], update_cols: list[str], import_order: str) -> DataFrame:
+    """State after upserting all imports one after the other, in one aggregation.
+
+    ``rows`` holds every import; per key the row of the latest import that has
+    the key is kept. A key twice in one import, or a NULL key part, fails the job.
+    """
+    merged = rows.groupBy(*keys).agg(
+        *[F.max_by(c, import_order).alias(c) for c in update_cols if c != import_order],
+        F.max(import_order).alias(import_order),
+        (F.count(F.lit(1)) - F.count_distinct(import_order) + 1).alias("_from_batch"),
+    )
+    return merged.filter(_valid_key(keys)).select(*keys, *update_cols)
+
+
 def _valid_key(keys: list[str]) -> Column:
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     no_null = F.lit(True)

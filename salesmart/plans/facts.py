@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import key_text
-from ..operators.merge import upsert
+from ..operators.merge import newest_import, upsert
 from .staging import SHOP_DAY_FACT, SKU_MONEY, narrow_fact
 
 IDENTITY = ["product_id", "sku_id", "merchant_sku_code", "product_specification"]
@@ -36,6 +36,22 @@ def upsert_shop_day(fact: DataFrame, staging: DataFrame) -> DataFrame:
     return upsert(fact, narrow_fact(staging), SHOP_DAY_KEYS, [*SHOP_DAY_FACT, "import_file_id", "source_row_number"])
 
 
+def shop_day_facts(staging: DataFrame) -> DataFrame:
+    """Canonical shop-day facts of all imports, newest import per key."""
+    columns = [*SHOP_DAY_FACT, "import_file_id", "source_row_number"]
+    return newest_import(narrow_fact(staging), SHOP_DAY_KEYS, columns, "import_file_id")
+
+
+def sku_day_facts(staging: DataFrame) -> DataFrame:
+    """Canonical SKU-day facts of all imports, newest import per key.
+
+    The totals are already grouped by key and import, so the merge reuses their
+    partitioning for its first step.
+    """
+    columns = [*SKU_MONEY, "import_file_id", "source_row_count"]
+    return newest_import(fact_sku_day(staging), SKU_DAY_KEYS, columns, "import_file_id")
+
+
 def upsert_sku_day(fact: DataFrame, totals: DataFrame) -> DataFrame:
     """Apply one import's SKU-day totals; they replace earlier totals, they do not add up."""
     return upsert(fact, totals, SKU_DAY_KEYS, [*SKU_MONEY, "import_file_id", "source_row_count"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import CANONICAL_COLUMNS, DATASET_COLUMNS, DATASET_VERSION, DATASETS, LINEAGE_TYPES, Contract
 from ..functions import normalise_date_text
-from ..operators.headers import extra_payload, extract_raw_rows, header_positions, mapped_value, resolve_headers
+from ..operators.headers import extra_payload, extract_raw_rows, mapped_values, resolve_headers, with_header_positions
 from ..operators.joins import lookup_join
 
 FILE_COLUMNS = ["workbook_path", "workbook_file_name", "workbook_file_hash", "shop_code"]
@@ -19,17 +19,8 @@ def contract_rows(rows: DataFrame, contract: Contract) -> DataFrame:
 
 def header_rows(rows: DataFrame, contract: Contract) -> DataFrame:
     """Header row of every sheet of one dataset: positions and names."""
-    return (
-        contract_rows(rows, contract)
-        .filter(F.col("row_number") == 1)
-        .select(
-            "workbook_identifier",
-            "sheet_index",
-            "sheet_name",
-            header_positions(F.col("cells")).alias("positions"),
-        )
-        .withColumn("headers", F.transform("positions", lambda h: h["name"]))
-    )
+    first = contract_rows(rows, contract).filter(F.col("row_number") == 1)
+    return with_header_positions(first).drop("cells", "row_number")
 
 
 def sheet_payloads(rows: DataFrame, contract: Contract, strict: bool) -> DataFrame:
@@ -74,13 +65,15 @@ def normalize_dataset(rows: DataFrame, files: DataFrame, contract: Contract, bat
         contract,
         batch_id,
     )
+    stamped = mapped_values(stamped, contract)
     values = {}
     for name in CANONICAL_COLUMNS:
         if name not in contract.field_names:
             values[name] = F.lit(None).cast("string")
-            continue
-        value = mapped_value(F.col("raw_payload"), F.col("mapping"), name)
-        values[name] = normalise_date_text(value) if name == "sales_date" else value
+        elif name == "sales_date":
+            values[name] = normalise_date_text(F.col(name))
+        else:
+            values[name] = F.col(name)
     values["source_extra_payload_json"] = extra_payload(F.col("raw_payload"), F.col("mapping"))
     lineage = {
         name: values.pop(name) if name in values else F.col(name).cast(kind) for name, kind in LINEAGE_TYPES.items()

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import excel_date, fixed_text, key_text, lenient_decimal, month_label, ratio_or_zero, safe_ratio
+from ..functions import clean_excel_date, fixed_text, key_text, lenient_decimal, month_label, ratio_or_zero, safe_ratio
 from ..operators.windows import latest_per_group
 from .reporting import SHOP_MEASURES, monthly_totals, shop_day_base
 
@@ -134,7 +134,7 @@ def spu_snapshot(spu_source: DataFrame, refreshed_at: dt.datetime) -> DataFrame:
     undated = F.raise_error(F.concat(F.lit("No sales date for shop "), F.col("shop_code"))).cast("date")
     return totals.orderBy(*SPU_KEYS).select(
         "shop_code",
-        F.coalesce(excel_date(F.col("sales_date")), undated).alias("sales_date"),
+        F.coalesce(clean_excel_date(F.col("sales_date")), undated).alias("sales_date"),
         "spu_name",
         "campaign_name",
         "listing_name",

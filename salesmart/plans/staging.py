@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import SHOP_DAILY_LOAD, SKU_DAILY_LOAD, Contract
-from ..functions import excel_date, floor_int, money, payload_text, rate, repair_number
+from ..functions import clean_excel_date, floor_int, money, rate, repair_number, strip
 
 SHOP_DAY_COUNTS = [
     "shop_visitor_count",
@@ -23,8 +23,18 @@ SKU_TEXT = ["product_name", "product_id", "merchant_sku_code", "product_specific
 SHOP_DAY_FACT = ["buyer_count", "order_count", "gross_sales_amount", "refund_amount"]
 
 
-def _text(contract: Contract, name: str) -> Column:
-    return payload_text(F.col("raw_payload"), *contract.headers_of(name))
+def contract_texts(raw: DataFrame, contract: Contract) -> DataFrame:
+    """Add one text column per field: first non-blank accepted header of the row.
+
+    Lookup, trim and choice are separate projections, so no text is read or
+    trimmed twice by the expressions built on top of it.
+    """
+    headers = [(f"_{i}_{j}", f, h) for i, f in enumerate(contract.fields) for j, h in enumerate(f.headers)]
+    trimmed = raw.withColumns({c: strip(F.try_element_at("raw_payload", F.lit(h))) for c, _, h in headers})
+    chosen = {
+        f.name: F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c, g, _ in headers if g is f]) for f in contract.fields
+    }
+    return trimmed.withColumns(chosen)
 
 
 def scope_import(raw: DataFrame, import_file_id: int, sheet_name: str) -> DataFrame:
@@ -33,17 +43,17 @@ def scope_import(raw: DataFrame, import_file_id: int, sheet_name: str) -> DataFr
 
 
 def to_stg_shop_day(raw: DataFrame) -> DataFrame:
-    """One projection: header variants per row, dates, repaired numbers, typed columns."""
-    number = lambda name: repair_number(_text(SHOP_DAILY_LOAD, name))
-    typed: dict[str, Column] = {"sales_date": excel_date(_text(SHOP_DAILY_LOAD, "sales_date"))}
+    """Header variants per row, dates, repaired numbers, typed columns; no shuffle."""
+    typed: dict[str, Column] = {"sales_date": clean_excel_date(F.col("sales_date"))}
     for name in SHOP_DAILY_LOAD.field_names[1:]:
+        number = repair_number(F.col(name))
         if name in SHOP_DAY_COUNTS:
-            typed[name] = floor_int(number(name))
+            typed[name] = floor_int(number)
         elif name == "conversion_rate":
-            typed[name] = rate(number(name))
+            typed[name] = rate(number)
         else:
-            typed[name] = money(number(name))
-    return raw.select(
+            typed[name] = money(number)
+    return contract_texts(raw, SHOP_DAILY_LOAD).select(
         "import_file_id",
         "shop_id",
         F.col("row_number").alias("source_row_number"),
@@ -52,11 +62,10 @@ def to_stg_shop_day(raw: DataFrame) -> DataFrame:
 
 
 def to_stg_sku_day(raw: DataFrame) -> DataFrame:
-    typed: dict[str, Column] = {"sales_date": excel_date(_text(SKU_DAILY_LOAD, "sales_date"))}
+    typed: dict[str, Column] = {"sales_date": clean_excel_date(F.col("sales_date"))}
     for name in SKU_DAILY_LOAD.field_names[1:]:
-        text = _text(SKU_DAILY_LOAD, name)
-        typed[name] = money(repair_number(text)) if name in SKU_MONEY else text
-    return raw.select(
+        typed[name] = money(repair_number(F.col(name))) if name in SKU_MONEY else F.col(name)
+    return contract_texts(raw, SKU_DAILY_LOAD).select(
         "import_file_id",
         "shop_id",
         F.col("row_number").alias("source_row_number"),

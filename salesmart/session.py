@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,24 +26,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to scratch in local mode only."""
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; scratch space only in local mode."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="salesmart-checkpoint-")
-    context.setCheckpointDir(shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="salesmart-checkpoint-"))
+        shared = context.getCheckpointDir()
+    return shared
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and continue from the written copy.
+    """Write ``df`` as a table in the shared folder and continue from the written copy.
 
     Used where a result is read several times or where row positions must not
-    change if an executor is lost and tasks are run again.
+    change if an executor is lost and tasks are run again. Unlike a cached copy
+    it survives lost executors, is pruned by column, and its size is known to
+    the optimiser.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/salesmart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

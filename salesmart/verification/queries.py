@@ -19,12 +19,12 @@ from ..functions import (
 )
 from ..operators import inventory as inv
 from ..operators import merge, quality
-from ..operators.headers import extra_payload, extract_raw_rows, header_positions, preview, resolve_headers
+from ..operators.headers import extra_payload, extract_raw_rows, preview, resolve_headers, with_header_positions
 from ..operators.joins import current_version, lookup_join
 from ..plans import facts, reporting, reviews
 from ..plans.normalise import normalize_dataset, sheet_payloads
 from ..plans.staging import backfill_layers, to_stg_shop_day, to_stg_sku_day
-from ..session import configure
+from ..session import configure, materialise
 from ..sources.cells import dense_cells, rows_from_cells
 from ..sources.landed import parse_raw_payload, seed_rows, workbook_identity
 from . import bindings as b
@@ -69,8 +69,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _shop_layers(t: Tables, since: dt.date | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    staging = b.shop_day_staging(t, since)
-    return b.shop_day_fact(staging), b.dim_shop(t), staging
+    # Shop-days are few; the staging layer is written once and read by fact and view.
+    staging = materialise(b.shop_day_staging(t, since))
+    return facts.shop_day_facts(staging), b.dim_shop(t), staging
 
 
 @query("view_shop_daily")
@@ -123,7 +124,7 @@ def current_version_join(t: Tables) -> DataFrame:
 
 def _sku_layers(t: Tables, since: dt.date | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     staging = b.sku_staging(t, since)
-    return b.sku_fact(staging), b.dim_shop(t), staging
+    return facts.sku_day_facts(staging), b.dim_shop(t), staging
 
 
 @query("fact_sku_day")
@@ -341,15 +342,9 @@ def workbook_identity_parse(t: Tables) -> DataFrame:
 
 
 
-def _with_positions(headers: DataFrame) -> DataFrame:
-    return headers.withColumn("positions", header_positions(F.col("cells"))).withColumn(
-        "headers", F.transform("positions", lambda h: h["name"])
-    )
-
-
 @query("header_resolution")
 def header_resolution(t: Tables) -> DataFrame:
-    resolved = resolve_headers(_with_positions(b.shop_daily_headers(t)), SHOP_DAILY_LOAD, strict=True)
+    resolved = resolve_headers(with_header_positions(b.shop_daily_headers(t)), SHOP_DAILY_LOAD, strict=True)
     date_at = F.filter("positions", lambda h: h["name"] == "日期")
     return resolved.select(
         "workbook_identifier",
@@ -362,7 +357,7 @@ def header_resolution(t: Tables) -> DataFrame:
 
 @query("header_schema_diff")
 def header_schema_diff(t: Tables) -> DataFrame:
-    resolved = resolve_headers(_with_positions(b.spu_headers(t)), SPU_SOURCE, strict=False)
+    resolved = resolve_headers(with_header_positions(b.spu_headers(t)), SPU_SOURCE, strict=False)
     return resolved.select(
         "workbook_identifier",
         F.size("mapping").alias("matched_count"),
@@ -391,11 +386,8 @@ def raw_extract(t: Tables) -> DataFrame:
     cells = F.array(F.lit("first"), amount, F.lit("unnamed"), status)
     # Some rows end before the last column.
     ragged = F.when(key % 5 == 0, F.slice(cells, 1, 3)).otherwise(cells)
-    rows = t.orders.select(
-        key.alias("row_number"),
-        header_positions(b.indexed_map(names)).alias("positions"),
-        b.indexed_map(ragged).alias("cells"),
-    )
+    headed = with_header_positions(t.spread("orders").withColumn("header_cells", b.indexed_map(names)), "header_cells")
+    rows = headed.select(key.alias("row_number"), "positions", b.indexed_map(ragged).alias("cells"))
     return extract_raw_rows(rows).select("row_number", json_object_text(F.col("raw_payload")).alias("payload"))
 
 
@@ -625,7 +617,7 @@ def coverage_by_shop(t: Tables) -> DataFrame:
 def layer_reconcile(t: Tables) -> DataFrame:
     staging = b.sku_staging(t)
     return quality.reconcile_layers(
-        {"raw": b.sku_raw(t), "staging": staging, "fact": b.sku_fact(staging)}, "shop_id"
+        {"raw": b.sku_raw(t), "staging": staging, "fact": facts.sku_day_facts(staging)}, "shop_id"
     )
 
 
