@@ -29,8 +29,10 @@ def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 def hot_key_hashes(rows: DataFrame, keys: list[str], share: float) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows (one map-side pass)."""
-    # Tracking ten times the reported items bounds the count error well below the share.
-    top = F.approx_top_k(F.xxhash64(*keys), HOT_KEYS_TRACKED, HOT_KEYS_TRACKED * 100)
+    # Tracking far more items than are reported keeps the count error well below the share.
+    top = F.call_function(
+        "approx_top_k", F.xxhash64(*keys), F.lit(HOT_KEYS_TRACKED), F.lit(HOT_KEYS_TRACKED * 100)
+    )
     found = rows.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
     floor = max(1.0, share * found["n"])
     return [item["item"] for item in (found["top"] or []) if item["count"] > floor]

@@ -49,7 +49,7 @@ SKU_MEASURES = {
 
 def shop_day_base(fact: DataFrame, shops: DataFrame, staging: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Shop-day facts with shop names and the traffic columns of the row they were loaded from."""
-    return with_shop(current_version(fact, staging, [*TRAFFIC, *(extra or [])]), shops)
+    return current_version(with_shop(fact, shops), staging, [*TRAFFIC, *(extra or [])])
 
 
 def _shop_ratios(buyers: Column, sales: Column, visitors: Column) -> list[Column]:
@@ -110,7 +110,7 @@ def shop_monthly(fact: DataFrame, shops: DataFrame, staging: DataFrame) -> DataF
 
 
 def sku_day_base(fact: DataFrame, shops: DataFrame, staging: DataFrame) -> DataFrame:
-    return with_shop(with_display_name(fact, sku_display_name(staging)), shops)
+    return with_display_name(with_shop(fact, shops), sku_display_name(staging))
 
 
 def sku_daily(fact: DataFrame, shops: DataFrame, staging: DataFrame) -> DataFrame:
