@@ -18,12 +18,12 @@ HOT_KEYS_TRACKED = 64
 
 
 def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure at most ``max_rows + 1`` rows and tell whether all of ``df`` is within the limits."""
+    """Measure rows and bytes in one distributed pass and tell whether both are within the limits."""
     width = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns],
     )
-    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 

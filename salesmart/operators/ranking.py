@@ -42,9 +42,13 @@ def dense_ranks(
     single_task_rows: int = SINGLE_TASK_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add dense ranks to ``df``, which is written once and measured first."""
+    """Add dense ranks to ``df``, which is written once and counted from the file footers.
+
+    Few rows get plain windows. More rows are ranked through their distinct
+    keys, so neither one group nor the whole table ends up in one task.
+    """
     rows = materialise(df)
-    if rows.limit(single_task_rows + 1).count() <= single_task_rows:
+    if rows.count() <= single_task_rows:
         for rank in ranks:
             window = W.partitionBy(*rank.partition).orderBy(*[o.expr() for o in rank.order])
             rows = rows.withColumn(rank.name, F.dense_rank().over(window))

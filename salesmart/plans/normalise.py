@@ -9,6 +9,7 @@ from ..contracts import CANONICAL_COLUMNS, DATASET_COLUMNS, DATASET_VERSION, DAT
 from ..functions import normalise_date_text
 from ..operators.headers import extra_payload, extract_raw_rows, mapped_values, resolve_headers, with_header_positions
 from ..operators.joins import lookup_join
+from ..session import materialise
 
 FILE_COLUMNS = ["workbook_path", "workbook_file_name", "workbook_file_hash", "shop_code"]
 
@@ -28,9 +29,9 @@ def sheet_payloads(rows: DataFrame, contract: Contract, strict: bool) -> DataFra
     resolved = resolve_headers(header_rows(rows, contract), contract, strict=strict)
     sheet = ["workbook_identifier", "sheet_index"]
     data = contract_rows(rows, contract).filter(F.col("row_number") != 1)
-    with_header = lookup_join(
-        data, resolved.select(*sheet, "positions", "mapping", "source_header_variant"), sheet, "left"
-    )
+    # One row per sheet: resolved once, then measured and joined from the written copy.
+    lookup = materialise(resolved.select(*sheet, "positions", "mapping", "source_header_variant"))
+    with_header = lookup_join(data, lookup, sheet, "left")
     no_header = F.raise_error(
         F.concat(F.lit("Sheet does not start headers on row 1: "), F.col("workbook_identifier"), F.lit(" "), F.col("sheet_name"))
     ).cast("string")
