@@ -87,26 +87,30 @@ def family_inventory(counts: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
-def sheet_shape_violations(rows: DataFrame, contract: Contract) -> DataFrame:
-    """Workbooks that break the layout rules for one dataset, with the reason."""
-    hit = F.contains(F.col("sheet_name"), F.lit(contract.sheet_token))
+def sheet_shape_violations(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
+    """Workbook and dataset pairs that break the layout rules, with the reason; one pass for all datasets."""
     per_sheet = rows.groupBy("workbook_identifier", "sheet_index", "sheet_name").agg(
         F.min("row_number").alias("first_row"), F.count("row_number").alias("n")
     )
-    per_book = per_sheet.groupBy("workbook_identifier").agg(
-        F.count_if(hit).alias("matches"),
-        F.min(F.when(hit, F.col("n"))).alias("rows"),
-        F.min(F.when(hit, F.col("first_row"))).alias("first_row"),
+    rules = F.array(*[F.struct(F.lit(c.code).alias("dataset_code"), F.lit(c.sheet_token).alias("token")) for c in contracts])
+    hit = F.contains(F.col("sheet_name"), F.col("token"))
+    per_book = (
+        per_sheet.select("*", F.inline(rules))
+        .groupBy("workbook_identifier", "dataset_code")
+        .agg(
+            F.count_if(hit).alias("matches"),
+            F.min(F.when(hit, F.col("n"))).alias("rows"),
+            F.min(F.when(hit, F.col("first_row"))).alias("first_row"),
+        )
     )
     reason = (
         F.when(
-            F.col("matches") != 1,
-            F.concat(F.lit(f"expected exactly one sheet for {contract.code}, found "), F.col("matches").cast("string")),
+            F.col("matches") != 1, F.concat(F.lit("expected exactly one sheet, found "), F.col("matches").cast("string"))
         )
         .when(F.col("rows") == 0, F.lit("sheet is empty"))
         .when(F.col("first_row") != 1, F.lit("does not start headers on row 1"))
     )
-    return per_book.select("workbook_identifier", reason.alias("reason")).filter("reason is not null")
+    return per_book.select("workbook_identifier", "dataset_code", reason.alias("reason")).filter("reason is not null")
 
 
 def require_none(violations: DataFrame, what: str) -> None:

@@ -18,17 +18,20 @@ def contract_rows(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.filter(F.contains(F.col("sheet_name"), F.lit(contract.sheet_token)))
 
 
-def header_rows(rows: DataFrame, contract: Contract) -> DataFrame:
-    """Header row of every sheet of one dataset: positions and names."""
-    first = contract_rows(rows, contract).filter(F.col("row_number") == 1)
-    return with_header_positions(first).drop("cells", "row_number")
+def header_rows(sheets: DataFrame) -> DataFrame:
+    """Header row of every sheet: positions and names."""
+    return with_header_positions(sheets.filter(F.col("row_number") == 1)).drop("cells", "row_number")
 
 
-def sheet_payloads(rows: DataFrame, contract: Contract, strict: bool) -> DataFrame:
-    """Data rows of one dataset with header mapping and payload; blank rows are dropped."""
-    resolved = resolve_headers(header_rows(rows, contract), contract, strict=strict)
+def sheet_payloads(rows: DataFrame, contract: Contract, strict: bool, sheet_name: str | None = None) -> DataFrame:
+    """Data rows of one dataset with header mapping and payload; blank rows are dropped.
+
+    The sheets are those whose name contains the contract's token, or one named sheet.
+    """
+    sheets = contract_rows(rows, contract) if sheet_name is None else rows.filter(F.col("sheet_name") == sheet_name)
+    resolved = resolve_headers(header_rows(sheets), contract, strict=strict)
     sheet = ["workbook_identifier", "sheet_index"]
-    data = contract_rows(rows, contract).filter(F.col("row_number") != 1)
+    data = sheets.filter(F.col("row_number") != 1)
     # One row per sheet: resolved once, then measured and joined from the written copy.
     lookup = materialise(resolved.select(*sheet, "positions", "mapping", "source_header_variant"))
     with_header = lookup_join(data, lookup, sheet, "left")

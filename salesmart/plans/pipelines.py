@@ -1,0 +1,228 @@
+"""End-to-end jobs: load a workbook, build the dataset family, refresh the snapshot, export reviews."""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from ..contracts import DATASETS, SHOP_DAILY_LOAD, SKU_DAILY_LOAD, Contract
+from ..operators import inventory as inv
+from ..operators.headers import preview, resolve_headers
+from ..operators.merge import insert_missing, next_id, upsert, upsert_table
+from ..operators.quality import duplicate_keys
+from ..session import materialise
+from ..sources import sinks
+from ..sources.landed import read_dataset, seed_rows
+from . import facts, reviews
+from .normalise import contract_rows, header_rows, normalize_family, sheet_payloads, sorted_dataset
+from .staging import SHOP_DAY_FACT, SKU_MONEY, narrow_fact, to_stg_shop_day, to_stg_sku_day
+
+# The platform and the notes of its imports.
+PLATFORM = ("pdd", "Pinduoduo")
+IMPORT_NOTES = {
+    "pdd_shop_daily": "PDD workbook-level shop daily load from 日报数据源",
+    "pdd_sku_daily": "PDD workbook-level SKU daily load from SKU源数据",
+}
+
+PLATFORMS = "platform_id int, platform_code string, platform_name string"
+SHOPS = "shop_id int, platform_id int, shop_code string, shop_name string, is_active boolean, created_at timestamp_ntz"
+FILE_TYPES = (
+    "source_file_type_id int, platform_id int, file_type_code string, file_type_name string, grain_code string, "
+    "version int, description string, is_active boolean"
+)
+IMPORT_FILES = (
+    "import_file_id int, source_file_type_id int, platform_id int, shop_id int, file_path string, file_name string, "
+    "sheet_name string, file_hash string, row_count_raw int, imported_at timestamp_ntz, notes string"
+)
+
+
+@dataclass(frozen=True)
+class Warehouse:
+    """Folder layout of the layers. Control tables are small and rewritten whole."""
+
+    root: str
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+
+def control_table(spark: SparkSession, wh: Warehouse, name: str, schema: str) -> DataFrame:
+    try:
+        return sinks.read_published(spark, wh.path(name))
+    except FileNotFoundError:
+        return spark.createDataFrame([], schema)
+
+
+def layer(spark: SparkSession, wh: Warehouse, name: str, schema: str | None = None) -> DataFrame:
+    """An append-only layer or fact; an empty frame of ``schema`` before its first write."""
+    try:
+        return spark.read.parquet(wh.path(name))
+    except AnalysisException as problem:
+        if schema is None or problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def initialise(spark: SparkSession, wh: Warehouse) -> None:
+    """Seed the platform and the source types; rows that exist already stay as they are."""
+    platforms = control_table(spark, wh, "platforms", PLATFORMS)
+    seed = spark.createDataFrame([(next_id(platforms, "platform_id"), *PLATFORM)], PLATFORMS)
+    sinks.publish(insert_missing(platforms, seed, ["platform_code"]), wh.path("platforms"))
+    platforms = control_table(spark, wh, "platforms", PLATFORMS).filter(F.col("platform_code") == PLATFORM[0])
+    types = control_table(spark, wh, "source_file_types", FILE_TYPES)
+    # Numbers of the nine seeds follow the highest id in use.
+    base = next_id(types, "source_file_type_id") - 1
+    codes = [r["file_type_code"] for r in seed_rows(platforms).select("file_type_code").collect()]
+    number = F.create_map(*[x for i, c in enumerate(codes, 1) for x in (F.lit(c), F.lit(base + i))])
+    seeds = seed_rows(platforms).withColumn("source_file_type_id", number[F.col("file_type_code")])
+    keys = ["platform_id", "file_type_code", "version"]
+    sinks.publish(insert_missing(types, seeds, keys), wh.path("source_file_types"))
+
+
+def _register_shop(spark: SparkSession, wh: Warehouse, platform_id: int, code: str, name: str, now: dt.datetime) -> int:
+    """Add the shop, or rename and re-activate it; returns its id."""
+    shops = control_table(spark, wh, "shops", SHOPS)
+    known = shops.filter((F.col("platform_id") == platform_id) & (F.col("shop_code") == code)).first()
+    shop_id = known["shop_id"] if known else next_id(shops, "shop_id")
+    batch = spark.createDataFrame([(shop_id, platform_id, code, name, True, now)], SHOPS)
+    merged = upsert(shops, batch, ["platform_id", "shop_code"], ["shop_name", "is_active"], ["shop_id", "created_at"])
+    sinks.publish(merged.select(*shops.columns), wh.path("shops"))
+    return shop_id
+
+
+@dataclass(frozen=True)
+class Workbook:
+    """One landed workbook: its sheet rows and where it came from."""
+
+    rows: DataFrame
+    path: str
+    file_hash: str
+    shop_code: str
+    shop_name: str
+    sheet_name: str | None = None
+
+
+def _target_sheet(book: Workbook, contract: Contract) -> tuple[DataFrame, str]:
+    counts = materialise(inv.sheet_row_counts(book.rows, ["workbook_identifier"]))
+    chosen = inv.choose_sheet(counts, contract.sheet_token, ["workbook_identifier"], book.sheet_name)
+    return counts, chosen.first()["sheet_name"]
+
+
+def preview_workbook(book: Workbook, contract: Contract) -> DataFrame:
+    """First rows of the sheet that a load would take."""
+    _, sheet = _target_sheet(book, contract)
+    return preview(sheet_payloads(book.rows, contract, True, sheet), contract, ["workbook_identifier"])
+
+
+def _load(spark: SparkSession, wh: Warehouse, book: Workbook, contract: Contract, now: dt.datetime):
+    """Register the import and append inventory, raw rows and staging; returns the staging rows.
+
+    Everything that can fail on bad input is computed before the first write.
+    """
+    counts, sheet = _target_sheet(book, contract)
+    payloads = materialise(sheet_payloads(book.rows, contract, True, sheet).drop("mapping", "source_header_variant"))
+    typed = to_stg_shop_day if contract is SHOP_DAILY_LOAD else to_stg_sku_day
+    staged = materialise(
+        typed(payloads.withColumns({"import_file_id": F.lit(0), "shop_id": F.lit(0)}))
+    )
+    if contract is SHOP_DAILY_LOAD:
+        inv.require_none(duplicate_keys(staged, ["sales_date"]), "date occurs twice in one import")
+
+    platform_id = control_table(spark, wh, "platforms", PLATFORMS).filter(
+        F.col("platform_code") == PLATFORM[0]
+    ).first()["platform_id"]
+    shop_id = _register_shop(spark, wh, platform_id, book.shop_code, book.shop_name, now)
+    types = control_table(spark, wh, "source_file_types", FILE_TYPES)
+    type_id = types.filter(
+        (F.col("platform_id") == platform_id) & (F.col("file_type_code") == contract.code) & (F.col("version") == 1)
+    ).first()["source_file_type_id"]
+    import_id = next_id(layer(spark, wh, "import_files", IMPORT_FILES), "import_file_id")
+    stamp = {"import_file_id": F.lit(import_id), "shop_id": F.lit(shop_id)}
+
+    entry = (
+        import_id, type_id, platform_id, shop_id, book.path, book.path.rsplit("/", 1)[-1],
+        sheet, book.file_hash, payloads.count(), now, IMPORT_NOTES[contract.code],
+    )
+    spark.createDataFrame([entry], IMPORT_FILES).write.mode("append").parquet(wh.path("import_files"))
+    sheets = inv.sheet_inventory(counts, contract, F.lit(sheet)).withColumn("import_file_id", stamp["import_file_id"])
+    sinks.append_import(sheets, wh.path("import_file_sheets"))
+    raw = payloads.select(stamp["import_file_id"].alias("import_file_id"), "row_number", "sheet_name", "raw_payload")
+    sinks.append_import(raw, wh.path("raw_import_rows"))
+    staging = staged.withColumns(stamp)
+    sinks.append_import(staging, wh.path(f"stg_{contract.grain}"))
+    return staging
+
+
+def load_shop_day(spark: SparkSession, wh: Warehouse, book: Workbook, now: dt.datetime) -> None:
+    """Workbook -> raw rows -> staging -> shop-day facts. Each run is a new import."""
+    staging = _load(spark, wh, book, SHOP_DAILY_LOAD, now)
+    batch = narrow_fact(staging).withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
+    columns = [*SHOP_DAY_FACT, "import_file_id", "source_row_number"]
+    upsert_table(spark, wh.path("fact_shop_day"), batch, facts.SHOP_DAY_KEYS, columns, keep_cols=["created_at"])
+
+
+def load_sku_day(spark: SparkSession, wh: Warehouse, book: Workbook, now: dt.datetime) -> None:
+    """Workbook -> raw rows -> staging -> SKU-day facts; the new totals replace older ones."""
+    staging = _load(spark, wh, book, SKU_DAILY_LOAD, now)
+    batch = facts.fact_sku_day(staging).withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
+    columns = [*SKU_MONEY, "import_file_id", "source_row_count"]
+    upsert_table(spark, wh.path("fact_sku_day"), batch, facts.SKU_DAY_KEYS, columns, keep_cols=["created_at"])
+
+
+RUN_MANIFEST = "/run_manifest"
+
+
+def build_family(spark: SparkSession, rows: DataFrame, files: DataFrame, root: str) -> str:
+    """Write the seven datasets with their manifests as the next version below ``root``.
+
+    The run manifest is written last; readers see the version from then on.
+    """
+    inv.require_none(inv.sheet_shape_violations(rows, list(DATASETS.values())), "workbook layout")
+    batch = inv.batch_id(files)
+    target = sinks.next_version(spark, root, RUN_MANIFEST)
+    key = "workbook_identifier"
+    for code, df in normalize_family(rows, files, batch).items():
+        sinks.write_dataset(sorted_dataset(df), f"{target}/datasets/{code}", "overwrite")
+        written = spark.read.parquet(f"{target}/datasets/{code}")
+        resolved = resolve_headers(header_rows(contract_rows(rows, DATASETS[code])), DATASETS[code], strict=False)
+        counts = inv.dataset_row_counts(written, ["dataset_code", key])
+        sinks.write_manifest(
+            inv.schema_manifest(resolved, code, batch, counts), f"{target}/schema_manifests/dataset={code}"
+        )
+    counted = inv.sheet_row_counts(rows, [key]).join(files.drop("workbook_file_hash"), key)
+    listed = inv.family_inventory(counted, batch)
+    sinks.write_dataset(listed, f"{target}/sheet_inventory", "overwrite")
+    document = inv.classification_doc(listed).join(files.select(key, "workbook_path"), key)
+    sinks.write_manifest(document.withColumn("batch_id", F.lit(batch)), f"{target}/sheet_classification")
+    every = spark.read.parquet(*[f"{target}/datasets/{code}" for code in DATASETS])
+    sinks.write_manifest(inv.run_manifest(files, every, batch), f"{target}{RUN_MANIFEST}")
+    return target
+
+
+def family_dataset(spark: SparkSession, root: str, code: str) -> DataFrame:
+    return read_dataset(spark, sinks.current_version_path(spark, root, RUN_MANIFEST), code)
+
+
+def refresh_monitoring(spark: SparkSession, family_root: str, snapshot_root: str, now: dt.datetime) -> str:
+    """Replace the product monitoring snapshot from the current SPU dataset."""
+    return sinks.refresh_snapshot(reviews.spu_snapshot(family_dataset(spark, family_root, "spu_source"), now), snapshot_root)
+
+
+def export_reviews(spark: SparkSession, wh: Warehouse, family_root: str, root: str, now: dt.datetime) -> str:
+    """Write the three review exports as CSV and their manifest as the next version below ``root``."""
+    layers = (
+        layer(spark, wh, "fact_shop_day"),
+        control_table(spark, wh, "shops", SHOPS),
+        layer(spark, wh, "stg_shop_day"),
+    )
+    daily, monthly = reviews.review_daily(*layers), reviews.review_monthly(*layers)
+    spu = reviews.review_spu(family_dataset(spark, family_root, "spu_source"))
+    target = sinks.next_version(spark, root, RUN_MANIFEST)
+    for name, df in {"日报_review": daily, "月报_review": monthly, "SPU监控_review": spu}.items():
+        sinks.write_csv(df, f"{target}/{name}", df.columns)
+    sinks.write_manifest(reviews.review_manifest(daily, monthly, spu, now), f"{target}{RUN_MANIFEST}")
+    return target

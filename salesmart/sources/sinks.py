@@ -27,13 +27,26 @@ def write_manifest(df: DataFrame, path: str) -> None:
     df.select(*[f"`{c}`" for c in sorted(df.columns)]).write.mode("overwrite").json(path)
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions below ``root``: those whose write job has committed."""
+def _versions(spark: SparkSession, root: str, last_part: str = "") -> list[int]:
+    """Complete versions below ``root``: those whose (last) write job has committed."""
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/version=*{last_part}/_SUCCESS")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    marked = fs.globStatus(pattern)
-    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in (marked or []))
+    marked = [m.getPath().toString() for m in (fs.globStatus(pattern) or [])]
+    return sorted(int(path.rsplit("/version=", 1)[1].split("/")[0]) for path in marked)
+
+
+def next_version(spark: SparkSession, root: str, last_part: str = "") -> str:
+    done = _versions(spark, root, last_part)
+    return f"{root}/version={(done[-1] if done else 0) + 1}"
+
+
+def current_version_path(spark: SparkSession, root: str, last_part: str = "") -> str:
+    """Newest complete version; one of several parts is complete once ``last_part`` is written."""
+    done = _versions(spark, root, last_part)
+    if not done:
+        raise FileNotFoundError(f"nothing published below {root}")
+    return f"{root}/version={done[-1]}"
 
 
 def publish(df: DataFrame, root: str) -> str:
@@ -42,18 +55,14 @@ def publish(df: DataFrame, root: str) -> str:
     Readers see a version only after its job has committed, so a failed rebuild
     leaves the previous result in place and a repeated one gives the same rows.
     """
-    done = _versions(df.sparkSession, root)
-    target = f"{root}/version={(done[-1] if done else 0) + 1}"
+    target = next_version(df.sparkSession, root)
     # An uncommitted leftover of a failed run may sit at this path.
     write_dataset(df, target, mode="overwrite")
     return target
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    done = _versions(spark, root)
-    if not done:
-        raise FileNotFoundError(f"nothing published below {root}")
-    return spark.read.parquet(f"{root}/version={done[-1]}")
+    return spark.read.parquet(current_version_path(spark, root))
 
 
 def refresh_snapshot(df: DataFrame, root: str) -> str:

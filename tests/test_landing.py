@@ -122,12 +122,15 @@ def test_header_must_be_on_row_one(spark, sheet):
 
 
 def test_shape_violations(spark, sheet):
-    assert inv.sheet_shape_violations(sheet, SKU_SOURCE).count() == 0
-    inv.require_none(inv.sheet_shape_violations(sheet, SKU_SOURCE), "layout")
-    other = inv.sheet_shape_violations(sheet, SHOP_DAILY_SOURCE).first()
-    assert other["reason"] == "expected exactly one sheet for shop_daily_source, found 0"
+    inv.require_none(inv.sheet_shape_violations(sheet, [SKU_SOURCE]), "layout")
+    both = inv.sheet_shape_violations(sheet, [SKU_SOURCE, SHOP_DAILY_SOURCE])
+    assert [(r["dataset_code"], r["reason"]) for r in both.collect()] == [
+        ("shop_daily_source", "expected exactly one sheet, found 0")
+    ]
     with pytest.raises(ValueError, match="layout"):
-        inv.require_none(inv.sheet_shape_violations(sheet, SHOP_DAILY_SOURCE), "layout")
+        inv.require_none(both, "layout")
+    late = inv.sheet_shape_violations(sheet.filter("row_number > 1"), [SKU_SOURCE]).first()
+    assert late["reason"] == "does not start headers on row 1"
 
 
 def test_extract_raw_rows_drops_blank(spark, sheet):
