@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import month_label
-from .joins import lookup_join
+from ..session import materialise
+from .joins import lookup_join, measured_small
 from .ranking import row_index
 
 _SIDE = "_side"
@@ -67,6 +68,32 @@ def _valid_key(keys: list[str]) -> Column:
     )
 
 
+def upsert_small_batch(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    update_cols: list[str],
+    keep_cols: list[str] | None = None,
+) -> DataFrame:
+    """``upsert`` for a stored target and a batch that was measured to be small.
+
+    The batch is broadcast, so the target is not shuffled. Its key columns are
+    read a second time to find the batch keys that are new.
+    """
+    keep_cols = keep_cols or []
+    wanted = [*keys, *update_cols, *keep_cols]
+    checked = batch.groupBy(*keys).agg(
+        *[F.any_value(c).alias(c) for c in [*update_cols, *keep_cols]], F.count(F.lit(1)).alias("_from_batch")
+    )
+    rows = checked.filter(_valid_key(keys)).select(*wanted)
+    incoming = rows.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in update_cols])
+    replaced = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in update_cols]
+    kept = target.join(F.broadcast(incoming), keys, "left").select(*keys, *replaced, *keep_cols)
+    # At most one key per batch row.
+    known = target.select(*keys).join(F.broadcast(rows.select(*keys)), keys, "left_semi")
+    return kept.unionByName(rows.join(F.broadcast(known), keys, "left_anti").select(*wanted))
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -81,7 +108,7 @@ def upsert_table(
     Dynamic partition overwrite stages the new files and swaps them in at job
     commit. The upsert is idempotent, so a run that fails half-way is repeated.
     """
-    tagged = batch.withColumn("sales_month", month_label(F.col(date_col)))
+    tagged = materialise(batch.withColumn("sales_month", month_label(F.col(date_col))))
     # At most one value per calendar month.
     touched = [r["sales_month"] for r in tagged.select("sales_month").distinct().collect()]
     try:
@@ -90,12 +117,16 @@ def upsert_table(
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = tagged.limit(0)
-    merged = upsert(stored, tagged, keys, update_cols, keep_cols)
-    (
-        merged.withColumn("sales_month", month_label(F.col(date_col)))
+    if measured_small(tagged):
+        # Stored rows stay in the tasks that read them, so each month keeps about its files.
+        merged = upsert_small_batch(stored, tagged, keys, update_cols, keep_cols)
+        out = merged.withColumn("sales_month", month_label(F.col(date_col)))
+    else:
+        merged = upsert(stored, tagged, keys, update_cols, keep_cols)
         # Rebalancing splits a dominant month over several files.
-        .hint("rebalance", "sales_month")
-        .write.mode("overwrite")
+        out = merged.withColumn("sales_month", month_label(F.col(date_col))).hint("rebalance", "sales_month")
+    (
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy("sales_month")

@@ -18,12 +18,13 @@ def duplicate_keys(df: DataFrame, keys: list[str | Column], name: str = "row_cou
 def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Child keys without a parent and how many rows carry them.
 
-    Children are counted per key before the join, so a frequent key is one row.
-    A NULL key is no reference and is not an orphan.
+    Children are counted per key and parents de-duplicated before the join, so a
+    frequent key is one row on either side. A NULL key is no reference and is
+    not an orphan.
     """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     counted = child.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-    return counted.join(parent.select(*keys), keys, "left_anti")
+    return counted.join(parent.select(*keys).distinct(), keys, "left_anti")
 
 
 def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import SHOP_DAILY_LOAD, SKU_DAILY_LOAD, Contract
 from ..functions import clean_excel_date, floor_int, money, rate, repair_number, strip
+from ..operators.joins import lookup_join
 
 SHOP_DAY_COUNTS = [
     "shop_visitor_count",
@@ -95,11 +96,9 @@ def backfill_layers(fact: DataFrame, files: DataFrame) -> tuple[DataFrame, DataF
     Every fact row gets its raw row through its import; staging is the wide row
     joined to that raw row on import and row number.
     """
-    raw = (
-        fact.withColumn("raw_payload", payload_json(fact))
-        .join(files.select("import_file_id", "sheet_name"), "import_file_id")
-        .select("import_file_id", F.col("source_row_number").alias("row_number"), "sheet_name", "raw_payload")
-    )
+    sheets = files.select("import_file_id", "sheet_name")
+    named = lookup_join(fact.withColumn("raw_payload", payload_json(fact)), sheets, ["import_file_id"], "inner")
+    raw = named.select("import_file_id", F.col("source_row_number").alias("row_number"), "sheet_name", "raw_payload")
     rows = raw.select("import_file_id", F.col("row_number").alias("source_row_number"))
     staging = fact.join(rows, ["import_file_id", "source_row_number"]).select(
         "import_file_id", "shop_id", "source_row_number", *SHOP_DAILY_LOAD.field_names

@@ -14,21 +14,27 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_upsert_replaces_keeps_and_adds(spark):
+WAYS = pytest.mark.parametrize("upsert", [merge.upsert, merge.upsert_small_batch])
+
+
+@WAYS
+def test_upsert_replaces_keeps_and_adds(spark, upsert):
     target = spark.createDataFrame([(1, D1, 10, 1, 100), (1, D2, 20, 1, 100)], SCHEMA)
     batch = spark.createDataFrame([(1, D2, None, 2, 200), (1, D3, 30, 2, 200)], SCHEMA)
-    merged = merge.upsert(target, batch, KEYS, UPDATE, KEEP)
+    merged = upsert(target, batch, KEYS, UPDATE, KEEP)
     assert rows(merged) == [(1, D1, 10, 1, 100), (1, D2, None, 2, 100), (1, D3, 30, 2, 200)]
-    assert rows(merge.upsert(merged, batch, KEYS, UPDATE, KEEP)) == rows(merged)
+    assert rows(upsert(merged, batch, KEYS, UPDATE, KEEP)) == rows(merged)
+    assert rows(upsert(target.limit(0), batch, KEYS, UPDATE, KEEP)) == rows(batch)
 
 
+@WAYS
 @pytest.mark.parametrize(
     ("batch", "message"),
     [([(1, D1, 1, 2, 0), (1, D1, 2, 2, 0)], "twice in one batch"), ([(None, D1, 1, 2, 0)], "NULL in key")],
 )
-def test_upsert_guards(spark, batch, message):
+def test_upsert_guards(spark, upsert, batch, message):
     target = spark.createDataFrame([(1, D1, 10, 1, 100)], SCHEMA)
-    merged = merge.upsert(target, spark.createDataFrame(batch, SCHEMA), KEYS, UPDATE, KEEP)
+    merged = upsert(target, spark.createDataFrame(batch, SCHEMA), KEYS, UPDATE, KEEP)
     with pytest.raises(Exception, match=message):
         merged.collect()
     with pytest.raises(Exception, match=message):
@@ -50,7 +56,9 @@ def test_newest_import_guards_repeats(spark):
         merge.newest_import(spark.createDataFrame(data, SCHEMA), KEYS, UPDATE, "import_file_id").collect()
 
 
-def test_upsert_table_rewrites_only_touched_months(spark, tmp_path):
+@pytest.mark.parametrize("small", [True, False])
+def test_upsert_table_rewrites_only_touched_months(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(merge, "measured_small", lambda df: small)
     path = str(tmp_path / "fact")
     first = spark.createDataFrame([(1, D1, 10, 1, 100), (1, D3, 20, 1, 100)], SCHEMA)
     merge.upsert_table(spark, path, first, KEYS, UPDATE, keep_cols=KEEP)
