@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from salesmart.contracts import DATASETS, SHOP_DAILY_LOAD
 from salesmart.operators.inventory import batch_id
-from salesmart.plans import pipelines as pipe
+from salesmart.plans import jobs
 from salesmart.plans import reporting
 from salesmart.sources import sinks
 
@@ -44,51 +44,51 @@ def workbook(spark, shop_rows, sku_rows):
 
 def book(rows, **changes):
     values = {"rows": rows, "path": f"/in/{BOOK}.xlsx", "file_hash": "h", "shop_code": "pdd_1", "shop_name": "One"}
-    return pipe.Workbook(**{**values, **changes})
+    return jobs.Workbook(**{**values, **changes})
 
 
 def test_load_reload_and_report(spark, tmp_path):
-    wh = pipe.Warehouse(str(tmp_path / "wh"))
-    pipe.initialise(spark, wh)
-    pipe.initialise(spark, wh)
-    assert pipe.control_table(spark, wh, "source_file_types", pipe.FILE_TYPES).count() == 9
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    jobs.initialise(spark, wh)
+    jobs.initialise(spark, wh)
+    assert jobs.control_table(spark, wh, "source_file_types", jobs.FILE_TYPES).count() == 9
     first = workbook(spark, SHOP_ROWS, SKU_ROWS)
-    shown = pipe.preview_workbook(book(first), SHOP_DAILY_LOAD).first()
+    shown = jobs.preview_workbook(book(first), SHOP_DAILY_LOAD).first()
     assert (shown["sales_date"], shown["gross_sales_amount"]) == ("2025-01-01", "776..03")
-    pipe.load_shop_day(spark, wh, book(first), NOW)
-    pipe.load_sku_day(spark, wh, book(first), NOW)
+    jobs.load_shop_day(spark, wh, book(first), NOW)
+    jobs.load_sku_day(spark, wh, book(first), NOW)
     second = workbook(spark, [["45689", "5", "1", "1", "1", "1", "1", "9", "", "", "", "", ""]], SKU_ROWS[:1])
-    pipe.load_shop_day(spark, wh, book(second, shop_name="Two"), LATER)
-    pipe.load_sku_day(spark, wh, book(second, shop_name="Two"), LATER)
+    jobs.load_shop_day(spark, wh, book(second, shop_name="Two"), LATER)
+    jobs.load_sku_day(spark, wh, book(second, shop_name="Two"), LATER)
 
-    files = pipe.layer(spark, wh, "import_files").orderBy("import_file_id").collect()
+    files = jobs.layer(spark, wh, "import_files").orderBy("import_file_id").collect()
     assert [(f["import_file_id"], f["shop_id"], f["row_count_raw"]) for f in files] == [(1, 1, 1), (2, 1, 2), (3, 1, 1), (4, 1, 1)]
-    assert pipe.layer(spark, wh, "import_file_sheets").count() == 32
-    assert pipe.layer(spark, wh, "raw_import_rows").count() == 5
-    shops = pipe.control_table(spark, wh, "shops", pipe.SHOPS)
+    assert jobs.layer(spark, wh, "import_file_sheets").count() == 32
+    assert jobs.layer(spark, wh, "raw_import_rows").count() == 5
+    shops = jobs.control_table(spark, wh, "shops", jobs.SHOPS)
     assert [(r["shop_id"], r["shop_name"], r["created_at"]) for r in shops.collect()] == [(1, "Two", NOW)]
 
-    shop_fact, sku_fact = pipe.layer(spark, wh, "fact_shop_day"), pipe.layer(spark, wh, "fact_sku_day")
+    shop_fact, sku_fact = jobs.layer(spark, wh, "fact_shop_day"), jobs.layer(spark, wh, "fact_sku_day")
     got = {str(r["sales_date"]): (str(r["gross_sales_amount"]), r["import_file_id"], r["created_at"]) for r in shop_fact.collect()}
     assert got == {"2025-01-01": ("776.03", 1, NOW), "2025-02-01": ("9.00", 3, LATER)}
     row = sku_fact.first()
     assert (str(row["gross_product_amount"]), row["source_row_count"], row["import_file_id"], row["created_at"]) == ("2.50", 1, 4, NOW)
-    view = reporting.shop_daily(shop_fact, shops, pipe.layer(spark, wh, "stg_shop_day")).collect()
+    view = reporting.shop_daily(shop_fact, shops, jobs.layer(spark, wh, "stg_shop_day")).collect()
     assert sorted((r["店铺"], r["店铺访客数"]) for r in view) == [("Two", 5), ("Two", 10)]
-    names = reporting.sku_daily(sku_fact, shops, pipe.layer(spark, wh, "stg_sku_day")).collect()
+    names = reporting.sku_daily(sku_fact, shops, jobs.layer(spark, wh, "stg_sku_day")).collect()
     assert [(r["商品名称"], r["来源行数"]) for r in names] == [("A", 1)]
 
 
 def test_bad_input_leaves_no_trace(spark, tmp_path):
-    wh = pipe.Warehouse(str(tmp_path / "wh"))
-    pipe.initialise(spark, wh)
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    jobs.initialise(spark, wh)
     bad = [list(SHOP_ROWS[0]), list(SHOP_ROWS[0])]
     with pytest.raises(ValueError, match="date occurs twice"):
-        pipe.load_shop_day(spark, wh, book(workbook(spark, bad, SKU_ROWS)), NOW)
+        jobs.load_shop_day(spark, wh, book(workbook(spark, bad, SKU_ROWS)), NOW)
     bad = [[*SHOP_ROWS[0][:-1], "oops"]]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        pipe.load_shop_day(spark, wh, book(workbook(spark, bad, SKU_ROWS)), NOW)
-    assert pipe.layer(spark, wh, "import_files", pipe.IMPORT_FILES).count() == 0
+        jobs.load_shop_day(spark, wh, book(workbook(spark, bad, SKU_ROWS)), NOW)
+    assert jobs.layer(spark, wh, "import_files", jobs.IMPORT_FILES).count() == 0
 
 
 def test_family_snapshot_and_reviews(spark, tmp_path):
@@ -98,9 +98,9 @@ def test_family_snapshot_and_reviews(spark, tmp_path):
         "workbook_identifier string, workbook_path string, workbook_file_name string, workbook_file_hash string, shop_code string",
     )
     family = str(tmp_path / "family")
-    target = pipe.build_family(spark, rows, files, family)
+    target = jobs.build_family(spark, rows, files, family)
     assert target.endswith("version=1")
-    assert pipe.family_dataset(spark, family, "sku_source").count() == 2
+    assert jobs.family_dataset(spark, family, "sku_source").count() == 2
     manifest = {r["name"]: r["row_count"] for r in spark.read.json(f"{target}/run_manifest").collect()}
     assert manifest["sku_source"] == 2 and manifest[BOOK] is None
     assert {r["batch_id"] for r in spark.read.parquet(f"{target}/sheet_inventory").collect()} == {batch_id(files)}
@@ -108,18 +108,18 @@ def test_family_snapshot_and_reviews(spark, tmp_path):
     assert (schema["row_count"], schema["missing_headers"]) == (1, ["商品收藏率"])
     assert len(spark.read.json(f"{target}/sheet_classification").first()["sheets"]) == 8
 
-    pipe.refresh_monitoring(spark, family, str(tmp_path / "snapshot"), NOW)
+    jobs.refresh_monitoring(spark, family, str(tmp_path / "snapshot"), NOW)
     snapshot = sinks.read_published(spark, str(tmp_path / "snapshot")).first()
     assert (snapshot["spu_name"], str(snapshot["derived_conversion_rate"]), snapshot["refreshed_at"]) == ("x", "0.250000", NOW)
 
-    wh = pipe.Warehouse(str(tmp_path / "wh"))
-    pipe.initialise(spark, wh)
-    pipe.load_shop_day(spark, wh, book(rows), NOW)
-    out = pipe.export_reviews(spark, wh, family, str(tmp_path / "reviews"), NOW)
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    jobs.initialise(spark, wh)
+    jobs.load_shop_day(spark, wh, book(rows), NOW)
+    out = jobs.export_reviews(spark, wh, family, str(tmp_path / "reviews"), NOW)
     text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(f"{out}/日报_review/*.csv"))
     assert text.splitlines()[1].startswith("日报,经营复盘表,pdd_1,2025-01-01,10,1,1,1,2,2,776.03,,3,0.2000,0.200000")
     exported = {r["export"]: r["row_count"] for r in spark.read.json(f"{out}/run_manifest").collect()}
     assert exported == {"日报_review": 1, "月报_review": 1, "SPU监控_review": 1}
     broken = rows.filter(~F.contains(F.col("sheet_name"), F.lit("SKU源数据")))
     with pytest.raises(ValueError, match="sku_source"):
-        pipe.build_family(spark, broken, files, family)
+        jobs.build_family(spark, broken, files, family)
