@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from salesmart.verification.oracle import ORACLE
+from salesmart.verification.queries import registered
 
 SF_DIR = Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES = registered()
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables not present")
 
@@ -24,6 +26,8 @@ def duck():
 
 def test_every_query_has_reference_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
