@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import line_dedup
+from salesmart.llm import decontamination, line_dedup, minhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +18,31 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
+    return done.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_decontamination": op9_decontamination,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {
@@ -41,4 +61,49 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op8_minhash_dedup": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) = 0 THEN []
+                     WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                     ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+            WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT r.doc_id, e.b FROM reached r JOIN ways e ON e.a = r.other)
+        SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+        FROM documents d LEFT JOIN sizes z USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) m USING (doc_id)""",
+    "op9_decontamination": f"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w FROM documents),
+        items AS (
+            SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w
+            FROM benchmark WHERE text IS NOT NULL),
+        windows AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS size,
+                   unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(10, len(w)) + 2)]) AS s
+            FROM items WHERE len(w) > 0),
+        places AS (
+            SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS start,
+                   unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS s
+            FROM words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size),
+        found AS (SELECT DISTINCT p.doc_id, p.start, p.size, w.item_id FROM places p JOIN windows w ON w.size = p.size AND w.s = p.s),
+        hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(start, start + size)) AS pos FROM found) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY doc_id)
+        SELECT w.doc_id, len(w.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+               sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+        FROM words w LEFT JOIN hit h USING (doc_id) LEFT JOIN named i USING (doc_id)""",
 }
