@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontamination, line_dedup, minhash_dedup
+from salesmart.llm import decontamination, line_dedup, minhash_dedup, mixing, toxicity
+from salesmart.llm._shared import FOLD5, fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(fold(F.col("doc_id"), FOLD5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return mixed.select("doc_id", F.col("l0").alias("domain"), "lang", "source", "n_tokens", "epoch")
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
     return done.select("doc_id", "n_shingles", "component_id", "kept")
@@ -37,6 +50,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op7_mixing": op7_mixing,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_decontamination": op9_decontamination,
 }
