@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontamination, line_dedup, minhash_dedup, mixing, toxicity
-from salesmart.llm._shared import FOLD5, fold
+from salesmart.llm import context_tree, cotraining, decontamination, kd_search, line_dedup, minhash_dedup, mixing, suffix_dedup, token_edits, toxicity
+from salesmart.llm._shared import FOLD5, FOLD7, fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kd_search.top_k(_table(spark, sf_dir, "embeddings"))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -26,6 +31,25 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(F.col("doc_id"), FOLD7) == 2, F.lit(False))
+    scored = context_tree.score_texts(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op5_token_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = token_edits.with_cleaning_edits(_table(spark, sf_dir, "documents"))
+    return token_edits.recount(docs).drop("text_key")
+
+
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    scored = cotraining.score(docs, cotraining.train(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(fold(F.col("doc_id"), FOLD5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return mixed.select("doc_id", F.col("l0").alias("domain"), "lang", "source", "n_tokens", "epoch")
@@ -48,12 +72,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_kd_search": op1_kd_search,
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_context_tree": op4_context_tree,
+    "op5_token_edits": op5_token_edits,
+    "op6_cotraining": op6_cotraining,
     "op7_mixing": op7_mixing,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,6 +95,18 @@ _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {
+    "op1_kd_search": """
+        WITH vectors AS (
+            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
     "op2_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
