@@ -166,7 +166,7 @@ class ContextTree:
             wanted = (keys if todo is None else keys[todo]) + U64(1)
             met = self.table[where] == wanted
             if todo is None:
-                out, todo = np.where(met, self.value[where], 0.0), np.flatnonzero(~met)
+                out, todo = np.where(met, self.value[where].astype(np.float64), 0.0), np.flatnonzero(~met)
             else:
                 out[todo[met]] = self.value[where[met]]
                 todo = todo[~met]

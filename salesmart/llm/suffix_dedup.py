@@ -323,9 +323,9 @@ def repeated_strings(prefixes, left, doc, tag, start, n, off) -> list[tuple]:
             again = np.flatnonzero((joint[order][1:] == joint[order][:-1]) & (behind[a][1:] == behind[a][:-1])) + 1
             rows.append(a[again])
             xs.append(np.full(len(again), x))
-    if not rows:
+    row, x = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (rows, xs))
+    if not len(row):
         return []
-    row, x = np.concatenate(rows), np.concatenate(xs)
     order = np.lexsort((-x, row))  # starts ascend as x falls
     row, begin = row[order], place[row[order]] - x[order]
     heads = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (begin[1:] != begin[:-1] + 1)]))

@@ -71,7 +71,7 @@ def restore(token: str, model: list) -> str:
                 ways.append(("", -0.7 if token[i - 2 : i] == o + o or token[i : i + 2] == o + o else -4.0))
         else:
             ways += [(c, -1.0) for c in LEET.get(o, "")]
-            ways.append(("", -0.3 if o in _GAPS else -5.0))
+            ways.append(("", -0.3 if o in _GAPS else -9.0 if o in LEET else -5.0))
         further: dict[tuple[int, int, str], tuple[float, str]] = {}
         for (a, b, last), (score, text) in paths.items():
             for c, cost in ways:
