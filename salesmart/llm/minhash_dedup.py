@@ -45,10 +45,17 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return as_long(key)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether each of 1,024 bins holds an odd number of shingles, as 16 words. Two sets that differ in k elements differ in
+    at most k bins, so comparing these words bounds the difference from below, whatever the sets are."""
+    odd = np.bincount((shingles >> U64(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, ids, bands = [], [], []
+            counts, ids, bands, parities = [], [], [], []
             for body in text_views(batch.column("text")):
                 found = np.unique(shingle_hashes(word_hashes(body, SPACED), size))
                 counts.append(len(found))
@@ -56,12 +63,14 @@ def _sketches(size: int):
                     total = np.array([mix(found).sum(), mix(found ^ U64(0x5DEECE66D5DEECE6)).sum()], U64)
                     ids.append(total.tobytes())
                     bands.append(band_keys(signature(found)))
+                    parities.append(parity(found))
                 else:
                     ids.append(None)
                     bands.append(None)
+                    parities.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "n_shingles", "set_id", "bands"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "n_shingles", "set_id", "bands", "parity"],
             )
 
     return run
@@ -92,15 +101,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     its bucket. The member whose other buckets are the largest leads a bucket, and all are compared with it; that joins a
     group of near copies through its common origin. Members that are then still apart from their leader's component are
     compared with every member of another component, so no link between components is lost and no pair inside one is
-    made. Every link is confirmed on full sets. The component id is the smallest doc_id reachable.
+    made; pairs whose parity bins prove too large a difference are ruled out inside that join. Every link is confirmed on
+    full sets. The component id is the smallest doc_id reachable.
 
     Texts without words are linked with nothing; an empty table gives no rows; repeated rows are all returned. A row without
     doc_id links like any other, and its component takes the smallest id that there is.
     """
     rows = keyed(docs)
-    sketches = materialise(rows.mapInArrow(_sketches(size), "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>"))
+    sketches = materialise(rows.mapInArrow(_sketches(size), "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>, parity array<long>"))
     full = sketches.where("n_shingles > 0")
-    classes = materialise(full.groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    classes = materialise(full.groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity")))
     banded = classes.select("set_id", "n", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     members = materialise(banded.join(shared, "bucket"))
@@ -122,8 +132,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     placed = materialise(placed.join(lead, "leader", "left").withColumn("leader_label", F.coalesce("leader_label", "leader")).select("bucket", "set_id", "n", "label", "leader_label"))
     apart = placed.where("label != leader_label").select("bucket", F.col("set_id").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label"))
     if not apart.isEmpty():
-        others = placed.select("bucket", F.col("set_id").alias("y"), F.col("n").alias("y_n"), F.col("label").alias("y_label"))
-        open_pairs = apart.join(others, "bucket").where((F.col("x_label") != F.col("y_label")) & alike("x_n", "y_n"))
+        mixed = apart.select("bucket").distinct()
+        others = placed.join(mixed, "bucket").select("bucket", F.col("set_id").alias("y"), F.col("n").alias("y_n"), F.col("label").alias("y_label"))
+        bins = lambda x: classes.select(F.col("set_id").alias(x), F.col("parity").alias(f"{x}_bins"))
+        differ = sum((F.bit_count(F.col("x_bins")[i].bitwiseXOR(F.col("y_bins")[i])) for i in range(1, 16)), F.bit_count(F.col("x_bins")[0].bitwiseXOR(F.col("y_bins")[0])))
+        open_pairs = apart.join(bins("x"), "x").alias("l").join(
+            others.join(bins("y"), "y").alias("r"),
+            (F.col("l.bucket") == F.col("r.bucket")) & (F.col("x_label") != F.col("y_label")) & alike("x_n", "y_n") & (differ * (100 + percent) <= (F.col("x_n") + F.col("y_n")) * (100 - percent)),
+        )
         done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         more = open_pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
         links = materialise(links.unionByName(_verified(more, sets, percent)))
