@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..contracts import DATASET_VERSION, DATASETS, Contract
 from ..functions import strip
-from ..session import materialise
-from .joins import lookup_join
 
 # Sheet groups and the name of the reserved image sheet.
 RAW_SOURCE = "raw-source"
@@ -18,8 +16,8 @@ IGNORE = "ignore"
 MIXED = "mixed/presentation"
 RESERVED_SHEET = "WpsReserved_CellImgList"
 
-# Longest registry that is digested in one piece; larger ones are digested in parts.
-DIGEST_ROWS = 100_000
+# Hexadecimal digits of an id's digest that choose the bucket of its line in a batch fingerprint.
+BUCKET_DIGITS = 3
 
 
 def classify_sheet(name: Column) -> Column:
@@ -50,7 +48,6 @@ def sheet_candidates(inventory: DataFrame, token: str, by: list[str]) -> DataFra
 def detect_sheet(inventory: DataFrame, token: str, by: list[str]) -> DataFrame:
     """The one sheet per workbook whose name contains the token; none or several fail the job."""
     found = sheet_candidates(inventory, token, by)
-    # Sheets of one workbook: a short list, read again only when the check fails.
     problem = (
         F.when(F.col("matches") == 0, F.lit(f"No sheet name contains {token}."))
         .when(
@@ -178,30 +175,22 @@ def run_manifest(files: DataFrame, normalised: DataFrame, batch_id: str) -> Data
     return datasets.unionByName(workbooks)
 
 
-def batch_ids(files: DataFrame, by: list[str], digest_rows: int = DIGEST_ROWS) -> DataFrame:
-    """Fingerprint of each group of files, independent of their order.
+def batch_ids(files: DataFrame, by: list[str]) -> DataFrame:
+    """Fingerprint of each group of files, independent of their order; one rule for groups of every size.
 
-    The digest of the sorted ``id|hash`` lines and the dataset version, cut to 16
-    characters. A group longer than ``digest_rows`` is split by a hash of the
-    id; each part is digested alone and the sorted part digests stand in for
-    the lines, so no task holds a whole group.
+    The ``id|hash`` lines go to 4,096 buckets by the first characters of the id's
+    digest. Each bucket's sorted lines are digested, and so are the sorted bucket
+    digests with the dataset version; the result is cut to 16 characters. No
+    value ever holds more than one bucket's lines.
     """
-    sizes = files.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    parts = F.greatest(F.ceil(F.col("_size") * 2 / F.lit(digest_rows)), F.lit(1))
     line = F.concat_ws("|", "workbook_identifier", "workbook_file_hash")
-    split = lookup_join(files, materialise(sizes), by, how="inner").withColumn(
-        "_part",
-        F.when(F.col("_size") <= digest_rows, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("workbook_identifier"), parts.cast("bigint"))
-        ),
-    )
     ordered = F.sort_array(F.collect_list(F.struct("workbook_identifier", line.alias("line"))))
     text = F.array_join(F.transform(ordered, lambda e: e["line"]), "\n")
-    per_part = split.groupBy(*by, "_part").agg(F.first("_size").alias("_size"), text.alias("_text"))
-    lines = F.when(F.col("_size") <= digest_rows, F.col("_text")).otherwise(F.sha2("_text", 256))
-    joined = F.array_join(F.sort_array(F.collect_list("_line")), "\n")
+    bucket = F.substring(F.sha2(F.col("workbook_identifier").cast("binary"), 256), 1, BUCKET_DIGITS).alias("_bucket")
+    per_bucket = files.groupBy(*by, bucket).agg(F.sha2(text, 256).alias("_digest"))
+    joined = F.array_join(F.sort_array(F.collect_list("_digest")), "\n")
     whole = F.concat(joined, F.lit(f"\ndataset_version={DATASET_VERSION}"))
-    digested = per_part.withColumn("_line", lines).groupBy(*by).agg(F.count(F.lit(1)).alias("_parts"), whole.alias("_w"))
+    digested = per_bucket.groupBy(*by).agg(whole.alias("_w"))
     return digested.select(*by, F.substring(F.sha2("_w", 256), 1, 16).alias("batch_id"))
 
 

@@ -25,8 +25,9 @@ def upsert(
 
     A batch row replaces all ``update_cols`` of its key, with NULL too;
     ``keep_cols`` stay as first written; keys absent from the batch stay. A key
-    twice in one batch, or a NULL key part, fails the job. One shuffle on the
-    keys; key filters above it reach both inputs.
+    twice in one batch or in the stored rows, or a NULL key part in either,
+    fails the job. One shuffle on the keys; key filters above it reach both
+    inputs.
     """
     keep_cols = keep_cols or []
     wanted = [*keys, *update_cols, *keep_cols]
@@ -35,8 +36,9 @@ def upsert(
         *[F.max_by(c, _SIDE).alias(c) for c in update_cols],
         *[F.min_by(c, _SIDE).alias(c) for c in keep_cols],
         F.sum(_SIDE).alias("_from_batch"),
+        F.sum(1 - F.col(_SIDE)).alias("_stored"),
     )
-    return merged.filter(_valid_key(keys)).select(*wanted)
+    return merged.filter(_valid_key(keys)).filter(_single_stored(keys)).select(*wanted)
 
 
 def newest_import(rows: DataFrame, keys: list[str], update_cols: list[str], import_order: str) -> DataFrame:
@@ -53,8 +55,17 @@ def newest_import(rows: DataFrame, keys: list[str], update_cols: list[str], impo
     return merged.filter(_valid_key(keys)).select(*keys, *update_cols)
 
 
+def _shown(keys: list[str]) -> Column:
+    return F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+
+
+def _single_stored(keys: list[str]) -> Column:
+    problem = F.raise_error(F.concat(F.lit("Key is stored twice: "), _shown(keys))).cast("boolean")
+    return F.when(F.col("_stored") > 1, problem).otherwise(F.lit(True))
+
+
 def _valid_key(keys: list[str]) -> Column:
-    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    shown = _shown(keys)
     no_null = F.lit(True)
     for key in keys:
         no_null = no_null & F.col(key).isNotNull()
@@ -77,10 +88,13 @@ def upsert_small_batch(
 ) -> DataFrame:
     """``upsert`` for a stored target and a batch that was measured to be small.
 
-    The batch is broadcast, so the target is not shuffled. Its key columns are
-    read a second time to find the batch keys that are new.
+    The batch is broadcast, so of the target only the keys are shuffled, to hold
+    stored rows to the same rule as ``upsert``. Its key columns are read again to
+    find the batch keys that are new.
     """
     keep_cols = keep_cols or []
+    stored = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("_stored"), F.lit(0).alias("_from_batch"))
+    stored.filter(_valid_key(keys)).filter(_single_stored(keys)).agg(F.count(F.lit(1))).collect()
     wanted = [*keys, *update_cols, *keep_cols]
     checked = batch.groupBy(*keys).agg(
         *[F.any_value(c).alias(c) for c in [*update_cols, *keep_cols]], F.count(F.lit(1)).alias("_from_batch")

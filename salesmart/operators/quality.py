@@ -35,19 +35,25 @@ def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def lineage_violations(df: DataFrame, parents: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Per parent: rows whose reference is NULL and rows whose reference does not exist."""
-    parts = []
+    absent = {
+        name: reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]) for name, (_, keys) in parents.items()
+    }
+    counted = df.agg(*[F.count_if(a).alias(name) for name, a in absent.items()])
+    nulls = counted.unpivot([], list(parents), "parent", "rows").select("parent", F.lit("missing").alias("problem"), "rows")
+    parts = [nulls]
     for name, (parent, keys) in parents.items():
-        absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        nulls = df.agg(F.count_if(absent).alias("rows")).select(F.lit("missing").alias("problem"), "rows")
         lost = orphans(df, parent, keys).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"))
-        both = nulls.unionByName(lost.select(F.lit("orphan").alias("problem"), "rows"))
-        parts.append(both.select(F.lit(name).alias("parent"), "problem", "rows"))
+        parts.append(lost.select(F.lit(name).alias("parent"), F.lit("orphan").alias("problem"), "rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def missing_columns(required: list[str], present: DataFrame, by: list[str], column: str = "column_name") -> DataFrame:
+def missing_columns(
+    required: list[str], present: DataFrame, by: list[str], column: str = "column_name", groups: DataFrame | None = None
+) -> DataFrame:
     """Per group of ``present``: required names it lacks, joined in name order; complete groups are left out.
 
+    ``groups`` lists the groups that there should be; one without any column lacks all.
+
     The list of required names is part of the rule, so each group's state is one
     flag per name and is combined map-side.
     """
@@ -55,6 +61,8 @@ def missing_columns(required: list[str], present: DataFrame, by: list[str], colu
     flags = present.groupBy(*by).agg(
         *[F.max(F.col(column) == n).alias(f"_has_{i}") for i, n in enumerate(names)]
     )
+    if groups is not None:
+        flags = groups.select(*by).distinct().join(flags, by, "left")
     absent = F.array_compact(
         F.array(*[F.when(~F.coalesce(F.col(f"_has_{i}"), F.lit(False)), F.lit(n)) for i, n in enumerate(names)])
     )

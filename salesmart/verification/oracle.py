@@ -500,10 +500,14 @@ BODIES = {
         SELECT 'pdd_' || shop_id || '_workbook_2026' AS workbook_identifier, code AS dataset_code, count(*) AS row_count
         FROM line JOIN (VALUES {TOKEN_ROWS}) AS k(i, token, code) ON i = l_linenumber GROUP BY shop_id, code""",
     "batch_fingerprint": """
-        SELECT o_custkey, substr(sha256(string_agg(workbook_identifier || '|'
-            || sha256(CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS VARCHAR)), chr(10) ORDER BY workbook_identifier)
+        SELECT o_custkey, substr(sha256(string_agg(digest, chr(10) ORDER BY digest)
             || chr(10) || 'dataset_version=1'), 1, 16) AS batch_id
-        FROM wb GROUP BY 1""",
+        FROM (
+            SELECT o_custkey, substr(sha256(workbook_identifier), 1, 3) AS bucket,
+                sha256(string_agg(workbook_identifier || '|'
+                    || sha256(CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS VARCHAR)), chr(10) ORDER BY workbook_identifier)) AS digest
+            FROM wb GROUP BY 1, 2)
+        GROUP BY 1""",
     "excel_date": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 6 <> 4 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS sales_date
         FROM orders""",

@@ -40,6 +40,8 @@ def test_rows_from_cells(spark):
     rows = rows_from_cells(cells, strings).select("row_number", dense_cells(F.col("cells")).alias("c"))
     got = {r["row_number"]: r["c"] for r in rows.collect()}
     assert got == {1: ["日期", "", "in"], 4: ["", "12", *[""] * 25]}
+    with pytest.raises(Exception, match="no shared string: A1"):
+        rows_from_cells(cells, strings.limit(0)).collect()
 
 
 def test_header_positions_last_column_wins(spark):
@@ -190,17 +192,29 @@ def test_detect_and_choose_sheet(spark):
 def test_batch_id_is_order_free_and_matches_its_definition(spark):
     pairs = [(f"pdd_{i}_workbook_2026", hashlib.sha256(str(i).encode()).hexdigest()) for i in range(5)]
     schema = "workbook_identifier string, workbook_file_hash string"
-    lines = ["|".join(p) for p in sorted(pairs)] + ["dataset_version=1"]
-    expected = hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+
+    def defined(files):
+        parts = {}
+        for name, digest in sorted(files):
+            parts.setdefault(hashlib.sha256(name.encode()).hexdigest()[:3], []).append(f"{name}|{digest}")
+        digests = sorted(hashlib.sha256("\n".join(lines).encode()).hexdigest() for lines in parts.values())
+        return hashlib.sha256("\n".join([*digests, "dataset_version=1"]).encode()).hexdigest()[:16]
+
     for order in (pairs, pairs[::-1]):
-        assert inv.batch_id(spark.createDataFrame(order, schema)) == expected
-    tagged = spark.createDataFrame([(1, *p) for p in pairs], f"g int, {schema}")
-    split = [
-        inv.batch_ids(df, ["g"], digest_rows=2).first()["batch_id"] for df in (tagged, tagged.orderBy(F.desc("workbook_identifier")))
-    ]
-    assert split[0] == split[1] != expected
-    changed = spark.createDataFrame([(1, p[0], "x" + p[1]) for p in pairs], f"g int, {schema}")
-    assert inv.batch_ids(changed, ["g"], digest_rows=2).first()["batch_id"] != split[0]
+        assert inv.batch_id(spark.createDataFrame(order, schema)) == defined(pairs)
+    changed = [(p[0], "x" + p[1]) for p in pairs]
+    assert inv.batch_id(spark.createDataFrame(changed, schema)) == defined(changed) != defined(pairs)
+
+
+def test_batch_id_of_very_many_files_follows_the_same_rule(spark):
+    files = spark.range(300_000).select(
+        F.format_string("pdd_%d_workbook_2026", "id").alias("workbook_identifier"), F.sha2(F.col("id").cast("string"), 256).alias("workbook_file_hash")
+    )
+    parts = {}
+    for r in sorted(files.collect()):
+        parts.setdefault(hashlib.sha256(r[0].encode()).hexdigest()[:3], []).append(f"{r[0]}|{r[1]}")
+    digests = sorted(hashlib.sha256("\n".join(lines).encode()).hexdigest() for lines in parts.values())
+    assert inv.batch_id(files) == hashlib.sha256("\n".join([*digests, "dataset_version=1"]).encode()).hexdigest()[:16]
 
 
 def test_workbook_identity(spark):

@@ -27,6 +27,17 @@ def test_upsert_replaces_keeps_and_adds(spark, upsert):
     assert rows(upsert(target.limit(0), batch, KEYS, UPDATE, KEEP)) == rows(batch)
 
 
+@WAYS
+@pytest.mark.parametrize(
+    ("stored", "message"),
+    [([(1, D1, 1, 1, 0), (1, D1, 2, 1, 0)], "stored twice"), ([(None, D1, 1, 1, 0)], "NULL in key")],
+)
+def test_upsert_guards_stored_rows(spark, upsert, stored, message):
+    batch = spark.createDataFrame([(2, D2, 5, 2, 0)], SCHEMA)
+    with pytest.raises(Exception, match=message):
+        upsert(spark.createDataFrame(stored, SCHEMA), batch, KEYS, UPDATE, KEEP).collect()
+
+
 @WAYS
 @pytest.mark.parametrize(
     ("batch", "message"),

@@ -110,3 +110,10 @@ def test_coverage(spark):
     assert tuple(quality.coverage(df, ["s"]).first()) == (1, 2, dt.date(2025, 1, 1), dt.date(2025, 1, 3))
     layers = {"raw": df, "fact": df.limit(1)}
     assert tuple(quality.reconcile_layers(layers, "s").first()) == (1, 2, 1)
+
+
+def test_missing_columns_reports_groups_that_have_nothing(spark):
+    present = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b")], "g int, column_name string")
+    groups = spark.createDataFrame([(1,), (2,), (3,)], "g int")
+    got = quality.missing_columns(["b", "a"], present, ["g"], groups=groups).collect()
+    assert {r["g"]: r["missing_columns"] for r in got} == {2: "a", 3: "a, b"}
