@@ -36,12 +36,10 @@ def sheet_row_counts(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def sheet_candidates(inventory: DataFrame, token: str, by: list[str]) -> DataFrame:
-    """Per workbook: how many sheet names contain the token, and the only one if it is unique."""
+    """Per workbook: the sheet names that contain the token, sorted (a workbook holds few sheets)."""
     hit = F.contains(F.col("sheet_name"), F.lit(token))
     return inventory.groupBy(*by).agg(
-        F.count_if(hit).alias("matches"),
-        F.min(F.when(hit, F.col("sheet_name"))).alias("first_match"),
-        F.max(F.when(hit, F.col("sheet_name"))).alias("last_match"),
+        F.sort_array(F.collect_list(F.when(hit, F.col("sheet_name")))).alias("matches")
     )
 
 
@@ -49,13 +47,13 @@ def detect_sheet(inventory: DataFrame, token: str, by: list[str]) -> DataFrame:
     """The one sheet per workbook whose name contains the token; none or several fail the job."""
     found = sheet_candidates(inventory, token, by)
     problem = (
-        F.when(F.col("matches") == 0, F.lit(f"No sheet name contains {token}."))
+        F.when(F.size("matches") == 0, F.lit(f"No sheet name contains {token}."))
         .when(
-            F.col("matches") > 1,
-            F.concat(F.lit(f"Multiple sheets match {token}: "), F.concat_ws(", ", "first_match", "last_match")),
+            F.size("matches") > 1,
+            F.concat(F.lit(f"Multiple sheets match {token}: "), F.array_join("matches", ", ")),
         )
     )
-    checked = F.when(problem.isNotNull(), F.raise_error(problem).cast("string")).otherwise(F.col("first_match"))
+    checked = F.when(problem.isNotNull(), F.raise_error(problem).cast("string")).otherwise(F.col("matches")[0])
     return found.select(*by, checked.alias("sheet_name"))
 
 

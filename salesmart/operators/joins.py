@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +14,7 @@ from ..functions import display_name
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-SALTS = 32
-HOT_KEYS_TRACKED = 64
+HOT_KEYS_TRACKED = 10_000
 
 
 def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -27,15 +27,19 @@ def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
-def hot_key_hashes(rows: DataFrame, keys: list[str], share: float) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows (one map-side pass)."""
-    # Tracking far more items than are reported keeps the count error well below the share.
-    top = F.call_function(
-        "approx_top_k", F.xxhash64(*keys), F.lit(HOT_KEYS_TRACKED), F.lit(HOT_KEYS_TRACKED * 100)
-    )
+def hot_keys(rows: DataFrame, keys: list[str], partitions: int) -> dict[int, int]:
+    """Hashes of the keys that outgrow a partition, each with the parts it needs (one map-side pass).
+
+    An even partition holds a ``partitions``-th of the rows. A key with more rows
+    is split into parts of that size at most, so there are fewer such keys than
+    partitions, and both limits move with the cluster's setting.
+    """
+    # Tracking far more items than are reported keeps the count error well below an even partition.
+    tracked = min(max(partitions, 64), HOT_KEYS_TRACKED)
+    top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(tracked), F.lit(tracked * 100))
     found = rows.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
-    floor = max(1.0, share * found["n"])
-    return [item["item"] for item in (found["top"] or []) if item["count"] > floor]
+    even = max(1.0, found["n"] / partitions)
+    return {i["item"]: math.ceil(i["count"] / even) for i in (found["top"] or []) if i["count"] > even}
 
 
 def lookup_join(
@@ -45,26 +49,28 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Attach the columns of ``lookup`` (one row per key) to ``rows``.
 
     A lookup measured to be small is broadcast. A larger one is shuffled; keys
-    that hold an outsized share of ``rows`` are then spread over ``salts``
-    partitions and only their lookup rows are repeated.
+    that outgrow one of ``partitions`` (the session's shuffle partitions) are
+    then spread over as many parts as they fill and only their lookup rows are
+    repeated. The part is a hash of the row, so that it stays the same when a
+    task runs again; rows equal in all columns but maps share a part.
     """
     if measured_small(lookup, max_rows):
         return _joined(rows, F.broadcast(lookup), keys, how, null_safe)
 
-    hot = hot_key_hashes(rows, keys, share=1.0 / (2 * salts))
+    hot = hot_keys(rows, keys, partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if not hot:
         return _joined(rows, lookup, keys, how, null_safe)
 
-    is_hot = F.xxhash64(*keys).isin(hot)
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(rows)]), F.lit(salts)).cast("int")
-    salted_rows = rows.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+    by_hash = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    parts = F.coalesce(F.try_element_at(by_hash, F.xxhash64(*keys)), F.lit(1))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(rows)]), parts).cast("int")
+    salted_rows = rows.withColumn("_salt", spread)
+    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
     return _joined(salted_rows, salted_lookup, [*keys, "_salt"], how, null_safe).drop("_salt")
 
 

@@ -114,9 +114,11 @@ def missing_identifiers(staging: DataFrame, columns: list[str], by: list[str]) -
 def identifier_conflicts(staging: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Ids that map to more than one counterpart, for each (id, counterpart) pair.
 
-    Each row yields one entry per pair, pairs are de-duplicated map-side and
-    then counted per id, so no id's counterparts are gathered in one place.
+    Rows equal in all identity columns are folded before they are expanded into
+    one entry per pair; pairs are de-duplicated map-side and then counted per
+    id, so no id's counterparts are gathered in one place.
     """
+    identities = staging.select(*dict.fromkeys(c for pair in pairs for c in pair)).distinct()
     entries = F.array(
         *[
             F.struct(F.lit(f"{a}->{b}").alias("rule"), F.col(a).alias("id"), F.col(b).alias("counterpart"))
@@ -124,7 +126,7 @@ def identifier_conflicts(staging: DataFrame, pairs: list[tuple[str, str]]) -> Da
         ]
     )
     return (
-        staging.select(F.inline(entries))
+        identities.select(F.inline(entries))
         .filter("id is not null and counterpart is not null")
         .distinct()
         .groupBy("rule", "id")

@@ -31,6 +31,17 @@ def sku_display_name(staging: DataFrame) -> DataFrame:
     ).agg(F.max("product_name").alias("product_name"))
 
 
+def named_sku_day(staging: DataFrame) -> DataFrame:
+    """Totals, row count and display name per import and SKU-day identity, from one aggregation."""
+    return staging.groupBy(
+        "import_file_id", "shop_id", "sales_date", *[key_text(F.col(c)).alias(c) for c in IDENTITY]
+    ).agg(
+        *[F.sum(c).cast("decimal(14,2)").alias(c) for c in SKU_MONEY],
+        F.count(F.lit(1)).cast("int").alias("source_row_count"),
+        F.max("product_name").alias("product_name"),
+    )
+
+
 def upsert_shop_day(fact: DataFrame, staging: DataFrame) -> DataFrame:
     """Apply one import's shop-day rows; a date repeated inside the import fails the job."""
     return upsert(fact, narrow_fact(staging), SHOP_DAY_KEYS, [*SHOP_DAY_FACT, "import_file_id", "source_row_number"])
@@ -46,10 +57,11 @@ def sku_day_facts(staging: DataFrame) -> DataFrame:
     """Canonical SKU-day facts of all imports, newest import per key.
 
     The totals are already grouped by key and import, so the merge reuses their
-    partitioning for its first step.
+    partitioning for its first step. Each fact carries the display name of the
+    import it comes from, so views do not read staging again.
     """
-    columns = [*SKU_MONEY, "import_file_id", "source_row_count"]
-    return newest_import(fact_sku_day(staging), SKU_DAY_KEYS, columns, "import_file_id")
+    columns = [*SKU_MONEY, "import_file_id", "source_row_count", "product_name"]
+    return newest_import(named_sku_day(staging), SKU_DAY_KEYS, columns, "import_file_id")
 
 
 def upsert_sku_day(fact: DataFrame, totals: DataFrame) -> DataFrame:

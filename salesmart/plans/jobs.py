@@ -168,8 +168,8 @@ def load_shop_day(spark: SparkSession, wh: Warehouse, book: Workbook, now: dt.da
 def load_sku_day(spark: SparkSession, wh: Warehouse, book: Workbook, now: dt.datetime) -> None:
     """Workbook -> raw rows -> staging -> SKU-day facts; the new totals replace older ones."""
     staging = _load(spark, wh, book, SKU_DAILY_LOAD, now)
-    batch = facts.fact_sku_day(staging).withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
-    columns = [*SKU_MONEY, "import_file_id", "source_row_count"]
+    batch = facts.named_sku_day(staging).withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
+    columns = [*SKU_MONEY, "import_file_id", "source_row_count", "product_name"]
     upsert_table(spark, wh.path("fact_sku_day"), batch, facts.SKU_DAY_KEYS, columns, keep_cols=["created_at"])
 
 

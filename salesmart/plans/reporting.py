@@ -109,11 +109,13 @@ def shop_monthly(fact: DataFrame, shops: DataFrame, staging: DataFrame) -> DataF
     )
 
 
-def sku_day_base(fact: DataFrame, shops: DataFrame, staging: DataFrame) -> DataFrame:
-    return with_display_name(with_shop(fact, shops), sku_display_name(staging))
+def sku_day_base(fact: DataFrame, shops: DataFrame, staging: DataFrame | None = None) -> DataFrame:
+    """SKU-day facts with shop and product names; only facts stored without their names need ``staging``."""
+    named = fact if "product_name" in fact.columns else with_display_name(fact, sku_display_name(staging))
+    return with_shop(named, shops)
 
 
-def sku_daily(fact: DataFrame, shops: DataFrame, staging: DataFrame) -> DataFrame:
+def sku_daily(fact: DataFrame, shops: DataFrame, staging: DataFrame | None = None) -> DataFrame:
     return sku_day_base(fact, shops, staging).select(
         F.lit(PLATFORM_LABEL).alias("平台"),
         F.col("shop_code").alias("店铺编码"),

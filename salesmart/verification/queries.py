@@ -122,9 +122,8 @@ def current_version_join(t: Tables) -> DataFrame:
 # --- SKU-day reports --------------------------------------------------------
 
 
-def _sku_layers(t: Tables, since: dt.date | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    staging = b.sku_staging(t, since)
-    return facts.sku_day_facts(staging), b.dim_shop(t), staging
+def _sku_layers(t: Tables, since: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+    return facts.sku_day_facts(b.sku_staging(t, since)), b.dim_shop(t)
 
 
 @query("fact_sku_day")
@@ -197,12 +196,12 @@ def typed_sku_day(t: Tables) -> DataFrame:
 
 @query("upsert_shop_day")
 def upsert_shop_day(t: Tables) -> DataFrame:
-    return b.shop_day_fact(b.shop_day_staging(t))
+    return b.shop_day_fact(materialise(b.shop_day_staging(t)))
 
 
 @query("upsert_sku_day")
 def upsert_sku_day(t: Tables) -> DataFrame:
-    return b.sku_fact(b.sku_staging(t))
+    return b.sku_fact(materialise(b.sku_staging(t)))
 
 
 @query("upsert_dimension")
@@ -279,7 +278,7 @@ def backfill(t: Tables) -> DataFrame:
     files = b.dim_shop(t).select(
         (F.col("shop_id") + 1).alias("import_file_id"), F.concat("shop_code", F.lit("日报数据源")).alias("sheet_name")
     )
-    raw, staging, narrow = backfill_layers(wide, files)
+    raw, staging, narrow = backfill_layers(materialise(wide), files)
     keys = ["import_file_id", "source_row_number"]
     return (
         raw.withColumnRenamed("row_number", "source_row_number")
@@ -615,7 +614,7 @@ def coverage_by_shop(t: Tables) -> DataFrame:
 
 @query("layer_reconcile")
 def layer_reconcile(t: Tables) -> DataFrame:
-    staging = b.sku_staging(t)
+    staging = materialise(b.sku_staging(t))
     return quality.reconcile_layers(
         {"raw": b.sku_raw(t), "staging": staging, "fact": facts.sku_day_facts(staging)}, "shop_id"
     )

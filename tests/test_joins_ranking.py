@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from salesmart.operators.joins import hot_key_hashes, lookup_join, measured_small
+from salesmart.operators.joins import hot_keys, lookup_join, measured_small
 from salesmart.operators.ranking import Order, Rank, dense_ranks, row_index
 
 
@@ -32,8 +32,23 @@ def test_salted_join_equals_plain_join(spark, skewed, how, null_safe):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    hot = hot_key_hashes(skewed, ["k"], 0.1)
-    assert hot == [spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]]
+    hot = hot_keys(skewed, ["k"], 20)
+    assert hot == {spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]: 7}
+
+
+@pytest.mark.parametrize("partitions", [40, 100])
+def test_no_part_outgrows_a_partition(spark, partitions):
+    """One dominant key and many medium ones: each is split by its own size."""
+    counts = {0: 4000, **{k: 300 for k in range(1, 11)}, **{k: 3 for k in range(100, 1100)}}
+    rows = spark.createDataFrame([(k, i) for k, n in counts.items() for i in range(n)], "k int, i int")
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in counts], "k int, v string")
+    joined = lookup_join(rows, lookup, ["k"], max_rows=0, partitions=partitions)
+    assert joined.count() == sum(counts.values()) == joined.where("v = concat('v', k)").count()
+    even = sum(counts.values()) / partitions
+    hashes = {r["k"]: r["h"] for r in lookup.select("k", F.xxhash64("k").alias("h")).collect()}
+    hot = hot_keys(rows, ["k"], partitions)
+    assert set(hot) == {hashes[k] for k, n in counts.items() if n > even}
+    assert all(n / hot.get(hashes[k], 1) <= even for k, n in counts.items())
 
 
 def test_measured_small(spark):
