@@ -11,6 +11,12 @@ ROWS_PER_BUCKET = 10_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _n_words(text: Column) -> Column:
+    """Words of a text: each becomes one letter and the rest goes, so a long text never turns into an array of its words."""
+    letters = F.translate(F.regexp_replace(text, _WORD, "x"), " \t\n\x0b\f\r", "")
+    return F.length(letters).cast("long")
+
+
 def _weight(level: int, weights: list[dict[str, float]]) -> Column:
     """The weight of a node among its siblings; 1 unless it is named."""
     value = F.lit(1.0)
@@ -64,7 +70,7 @@ def mix(docs: DataFrame, levels: list[Column], weights: list[dict[str, float]],
     rows = docs.select(
         *[F.col(f"`{c}`") for c in own],
         *[F.coalesce(level.cast("string"), F.lit("none")).alias(p) for level, p in zip(levels, path, strict=True)],
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("n_tokens"),
+        _n_words(F.coalesce("text", F.lit(""))).alias("n_tokens"),
     )
     slim = materialise(rows.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__key"), *path, "n_tokens"))
     leaves = slim.groupBy(*path).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_rows"))
