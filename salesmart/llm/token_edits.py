@@ -27,112 +27,134 @@ def _encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class Counter:
-    """Tokens of single pre-tokens, with a memo of bounded size."""
+class Counter(dict):
+    """Tokens of single pre-tokens, a memo of bounded size."""
 
     def __init__(self, path: str):
-        self.encode, self.pattern, self.memo = _encoding(path).encode_ordinary, regex.compile(PATTERN), {}
+        self.encode, self.pattern = _encoding(path).encode_ordinary, regex.compile(PATTERN)
 
-    def of(self, piece: str) -> int:
-        n = self.memo.get(piece)
-        if n is None:
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            n = self.memo[piece] = len(self.encode(piece))
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= _MEMO:
+            self.clear()
+        n = self[piece] = len(self.encode(piece))
         return n
 
+    def of(self, piece: str) -> int:
+        return self[piece]
+
 
 class TokenTree:
     """A segment tree over the pre-tokens of one text: leaves hold up to 64 pre-tokens at first, nodes hold the characters
-    and tokens below them. An edit finds its leaf by characters and changes the sums on one path."""
+    and tokens below them. An edit finds its leaf by characters, reads a window of leaves around it and changes the sums on
+    the paths above them; the text is never put together again."""
 
     def __init__(self, text: str, counter: Counter):
-        self.text, self.counter, self.encoded = text, counter, 0
+        self.counter, self.encoded = counter, 0
         pieces = counter.pattern.findall(text)
-        self.leaves = [[(len(p), counter.of(p)) for p in pieces[i : i + LEAF]] for i in range(0, len(pieces), LEAF)] or [[]]
-        self.size = 1 << (len(self.leaves) - 1).bit_length()
+        tokens = [counter[p] for p in pieces]
+        self.parts = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
+        self.size = 1 << (len(self.parts) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        for i, leaf in enumerate(self.leaves):
-            self.chars[self.size + i], self.tokens[self.size + i] = sum(c for c, _ in leaf), sum(t for _, t in leaf)
+        for i, leaf in enumerate(self.parts):
+            self.chars[self.size + i], self.tokens[self.size + i] = len("".join(leaf)), sum(tokens[i * LEAF : (i + 1) * LEAF])
         for node in range(self.size - 1, 0, -1):
-            self._add(node)
-
-    def _add(self, node: int) -> None:
-        self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
-        self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
+            self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
+            self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     @property
     def n_tokens(self) -> int:
         return self.tokens[1]
 
+    @property
+    def leaves(self) -> list[list[tuple[int, int]]]:
+        """Characters and tokens of each pre-token."""
+        return [[(len(p), self.counter[p]) for p in part] for part in self.parts]
+
+    @property
+    def text(self) -> str:
+        return "".join(map("".join, self.parts))
+
     def _locate(self, at: int) -> tuple[int, int, int]:
         """Leaf, number and first character of the pre-token that holds character ``at`` or, at the end, of the last."""
+        if not self.chars[1]:
+            return 0, 0, 0
         at, begin, node = min(at, self.chars[1] - 1), 0, 1
         while node < self.size:
             node *= 2
             if at >= begin + self.chars[node]:
                 begin += self.chars[node]
                 node += 1
-        for i, (c, _) in enumerate(self.leaves[node - self.size]):
-            if at < begin + c:
+        for i, piece in enumerate(self.parts[node - self.size]):
+            if at < begin + len(piece):
                 return node - self.size, i, begin
-            begin += c
+            begin += len(piece)
         raise AssertionError("positions and sums disagree")
 
     def edit(self, start: int, length: int, text: str) -> None:
         """Replace ``length`` characters from ``start``.
 
         A pre-token depends on its characters and at most two after them, so matching starts anew at the one that holds the
-        second character before the edit, and ends where it meets an old boundary behind the edit."""
-        start = max(0, min(start, len(self.text)))
-        length = max(0, min(length, len(self.text) - start))
-        self.text = self.text[:start] + text + self.text[start + length :]
-        shift, end = len(text) - length, start + len(text)
-        if self.chars[1] == 0:
-            leaf, first, at = 0, 0, 0
-        else:
-            leaf, first, at = self._locate(max(0, start - 2))
-        old_leaf, old_at, i = leaf, at, first  # the next old pre-token
-        fresh: list[tuple[int, int]] = []
+        second character before the edit, and ends where it meets an old boundary behind the edit. The window grows by
+        whole leaves, as far as matching looks."""
+        start = max(0, min(start, self.chars[1]))
+        length = max(0, min(length, self.chars[1] - start))
+        leaf, first, begin = self._locate(max(0, start - 2))
+        old, ends = self.parts[leaf][first:], []
+        ends.append(len(old))  # pre-tokens of the window up to the end of each of its leaves
+        window, behind = "".join(old), start + length - begin
+        while len(window) < behind:
+            window += self._extend(leaf, old, ends)
+        window = window[: start - begin] + text + window[behind:]
+        shift, end = len(text) - length, start - begin + len(text)
+        at = i = old_at = 0
+        fresh: list[str] = []
         while True:
-            while old_at + shift < at or old_at < start + length:  # old pre-tokens that the new ones replace
-                step = self._next(old_leaf, i)
-                if step is None:
-                    break
-                old_leaf, i = step
-                old_at += self.leaves[old_leaf][i][0]
+            while i < len(old) and (old_at + shift < at or old_at < behind):  # old pre-tokens that the new ones replace
+                old_at += len(old[i])
                 i += 1
-            if at >= end and old_at + shift == at and old_at >= start + length:
+            if at >= end and old_at + shift == at and old_at >= behind:
                 break
-            match = self.counter.pattern.match(self.text, at)
+            match = self.counter.pattern.match(window, at)
+            if match is None or match.end() + 2 > len(window):
+                more = self._extend(leaf, old, ends)
+                if more:
+                    window += more
+                    continue
             if match is None:
                 break
-            piece = match.group()
-            fresh.append((len(piece), self.counter.of(piece)))
-            self.encoded += 1
+            fresh.append(match.group())
             at = match.end()
-        if old_leaf == leaf:
-            self._put(leaf, self.leaves[leaf][:first] + fresh + self.leaves[leaf][i:])
-        else:
-            self._put(leaf, self.leaves[leaf][:first] + fresh)
-            for between in range(leaf + 1, old_leaf):
-                self._put(between, [])
-            self._put(old_leaf, self.leaves[old_leaf][i:])
-
-    def _next(self, leaf: int, i: int) -> tuple[int, int] | None:
-        while i >= len(self.leaves[leaf]):
-            leaf, i = leaf + 1, 0
-            if leaf >= len(self.leaves):
-                return None
-        return leaf, i
-
-    def _put(self, leaf: int, pieces: list[tuple[int, int]]) -> None:
-        self.leaves[leaf] = pieces
+        self.encoded += len(fresh)
+        kept, begin = self.parts[leaf][:first] + fresh, 0
+        for place, stop in enumerate(ends, leaf):
+            gone = old[begin : min(i, stop)]
+            added = fresh if place == leaf else []
+            if gone or added:
+                self._put(place, (kept if place == leaf else []) + old[max(begin, i) : stop], added, gone)
+            if i <= stop:
+                break
+            begin = stop
+
+    def _extend(self, leaf: int, old: list[str], ends: list[int]) -> str:
+        """Add leaves to the window until it is longer, doubling them; without any left, the result is empty."""
+        text = ""
+        while not text and leaf + len(ends) < len(self.parts):
+            for pieces in self.parts[leaf + len(ends) : leaf + 2 * len(ends)]:
+                text += "".join(pieces)
+                old += pieces
+                ends.append(len(old))
+        return text
+
+    def _put(self, leaf: int, pieces: list[str], added: list[str], gone: list[str]) -> None:
+        """Set the pre-tokens of a leaf; the sums above change by those added and gone."""
+        self.parts[leaf] = pieces
+        chars = len("".join(added)) - len("".join(gone))
+        tokens = sum(self.counter[p] for p in added) - sum(self.counter[p] for p in gone)
         node = self.size + leaf
-        self.chars[node], self.tokens[node] = sum(c for c, _ in pieces), sum(t for _, t in pieces)
-        while node > 1:
+        while node:
+            self.chars[node] += chars
+            self.tokens[node] += tokens
             node //= 2
-            self._add(node)
 
 
 def _recount(path: str):
@@ -141,12 +163,16 @@ def _recount(path: str):
         names = ["n_tokens", "n_after", "n_pretokens", "n_encoded", "n_edits"]
         for batch in batches:
             out: list[tuple] = []
-            for text, edits in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), strict=True):
+            edits = batch.column("edits")
+            starts, lengths, texts = (edits.values.field(name).to_pylist() for name in ("start", "length", "text"))
+            present, bounds = edits.values.is_valid().to_pylist(), edits.offsets.to_pylist()
+            for row, text in enumerate(batch.column("text").to_pylist()):
                 tree = TokenTree(text, counter)
-                before, pieces = tree.n_tokens, sum(map(len, tree.leaves))
-                done = sorted((e for e in edits or [] if e is not None and e["start"] is not None), key=lambda e: e["start"], reverse=True)
+                before, pieces = tree.n_tokens, sum(map(len, tree.parts))
+                done = [e for e in range(bounds[row], bounds[row + 1]) if present[e] and starts[e] is not None]
+                done.sort(key=starts.__getitem__, reverse=True)
                 for e in done:
-                    tree.edit(e["start"], e["length"] or 0, e["text"] or "")
+                    tree.edit(starts[e], lengths[e] or 0, texts[e] or "")
                 out.append((before, tree.n_tokens, pieces, tree.encoded, len(done)))
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "text_key", *names])
@@ -170,13 +196,21 @@ _JUNK = re.compile(r"([%*&$#])\1\1|!!")
 
 def _cleaning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        edits = []
+        starts, lengths, texts, ends = [], [], [], [0]
         for text in batch.column("text").to_pylist():
             text = text or ""
-            found = [{"start": m.start(), "length": m.end() - m.start(), "text": ""} for m in _JUNK.finditer(text)]
-            edits.append(found if text.endswith("\n") else [*found, {"start": len(text), "length": 0, "text": "\n"}])
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("text", pa.string())]))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(edits, kind)], names=["doc_id", "text", "edits"])
+            for found in _JUNK.finditer(text):
+                starts.append(found.start())
+                lengths.append(found.end() - found.start())
+                texts.append("")
+            if not text.endswith("\n"):
+                starts.append(len(text))
+                lengths.append(0)
+                texts.append("\n")
+            ends.append(len(starts))
+        fields = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(texts, pa.string())], ["start", "length", "text"])
+        edits = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fields)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), edits], names=["doc_id", "text", "edits"])
 
 
 def with_cleaning_edits(docs: DataFrame) -> DataFrame:
