@@ -32,13 +32,18 @@ def parse_raw_payload(rows: DataFrame) -> DataFrame:
 
 
 def read_csv_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header into a typed schema; one bad value fails the whole read."""
+    """CSV with a header into a typed schema; one bad value fails the whole read.
+
+    Quoted values may hold line breaks, so a file is read by one task: the
+    writer's part files are the unit of parallel work.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
-        .option("multiLine", False)
+        .option("multiLine", True)
+        .option("escape", '"')
         .csv(path)
     )
 

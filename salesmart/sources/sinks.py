@@ -13,6 +13,8 @@ def write_csv(df: DataFrame, path: str, columns: list[str], order: list | None =
         .write.mode("overwrite")
         .option("header", True)
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
         .csv(path)
     )

@@ -464,8 +464,9 @@ BODIES = {
             CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS sku_text
         FROM orders""",
     "normalize_dataset": f"""
-        SELECT (SELECT substr(sha256(string_agg(book || '|' || sha256(book), chr(10) ORDER BY book) || chr(10)
-                || 'dataset_version=1'), 1, 16) FROM book) AS batch_id,
+        SELECT (SELECT substr(sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10) || 'dataset_version=1'), 1, 16)
+                FROM (SELECT sha256(string_agg(book || '|' || sha256(book), chr(10) ORDER BY book)) AS digest
+                    FROM book GROUP BY substr(sha256(book), 1, 3))) AS batch_id,
             CAST(1 AS BIGINT) AS dataset_version, 'sku_source' AS dataset_code, 'sku_day' AS grain_code,
             book AS workbook_identifier, book || '.xlsx' AS workbook_file_name, 'pdd_' || n_nationkey AS shop_code,
             '②SKU源数据' AS sheet_name, CAST(2 AS BIGINT) AS sheet_index, row_no AS source_row_number,
@@ -575,6 +576,42 @@ BODIES = {
         FROM (SELECT shop_id, count(*) AS raw_rows FROM sku_line GROUP BY 1)
         LEFT JOIN (SELECT shop_id, count(*) AS staging_rows FROM sku_stg GROUP BY 1) USING (shop_id)
         LEFT JOIN (SELECT shop_id, count(*) AS fact_rows FROM sku_fact GROUP BY 1) USING (shop_id)""",
+    "csv_roundtrip": """
+        SELECT doc_id, ' "' || lang || '",' || chr(10) || ' ' AS note, CAST(length(nullif(text, '')) AS BIGINT) AS n_chars,
+            md5(nullif(text, '')) AS text_md5
+        FROM documents""",
+    "raw_rows_json_roundtrip": """
+        SELECT user_id AS import_file_id, event_id AS row_number, event_type AS sheet_name,
+            json_extract_string(props, '$.k') AS k_text
+        FROM events""",
+    "dataset_roundtrip": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "file_fingerprint": "SELECT s_suppkey, sha256(s_name || chr(10)) AS workbook_file_hash FROM supplier",
+    "published_snapshot": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'",
+    "appended_imports": """
+        SELECT o_orderkey AS row_number, o_orderpriority AS sheet_name, CAST(1 AS BIGINT) AS import_file_id
+        FROM orders WHERE o_custkey % 3 = 1 AND o_orderpriority = '1-URGENT'""",
+    "salted_lookup_join": """
+        SELECT l_returnflag, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+            count(*) OVER flag AS flag_rows, max(l_orderkey) OVER flag AS last_order
+        FROM lineitem WINDOW flag AS (PARTITION BY l_returnflag)""",
+    "distributed_rank": """
+        SELECT l_orderkey, l_linenumber, l_returnflag, units,
+            dense_rank() OVER (ORDER BY units DESC NULLS FIRST, l_orderkey) AS rank_all,
+            dense_rank() OVER (PARTITION BY l_returnflag ORDER BY units NULLS LAST) AS rank_in_flag
+        FROM (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag,
+            CASE WHEN l_quantity > 1 THEN CAST(l_quantity AS BIGINT) END AS units FROM lineitem)""",
+    "latest_imports": """
+        SELECT o_orderkey AS import_file_id FROM orders ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC LIMIT 5""",
+    "union_ids": "SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer",
+    "concat_datasets": """
+        SELECT c_custkey AS id, c_name AS name, CAST(NULL AS VARCHAR) AS brand FROM customer
+        UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier
+        UNION ALL SELECT p_partkey, NULL, p_brand FROM part""",
+    "resolve_shop": """
+        SELECT c_custkey AS platform_id, c_custkey AS shop_id, o_orderpriority AS platform_code, c_mktsegment AS shop_code
+        FROM orders JOIN customer ON c_custkey = o_custkey
+        WHERE o_orderpriority = '1-URGENT' AND c_mktsegment = 'BUILDING'""",
+    "lookup_by_code": "SELECT p_partkey, p_brand FROM part WHERE p_brand = 'Brand#11'",
 }
 
 ORACLE = {name: sql(body) for name, body in BODIES.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,13 @@ from ..functions import (
 from ..operators import inventory as inv
 from ..operators import merge, quality
 from ..operators.headers import extra_payload, extract_raw_rows, preview, resolve_headers, with_header_positions
-from ..operators.joins import current_version, lookup_join
+from ..operators.joins import current_version, lookup_by_code, lookup_join, resolve_shop
+from ..operators.ranking import Order, Rank, dense_ranks
 from ..plans import facts, reporting, reviews
-from ..plans.normalise import normalize_dataset, sheet_payloads
-from ..plans.staging import backfill_layers, to_stg_shop_day, to_stg_sku_day
-from ..session import configure, materialise
+from ..plans.normalise import concat_datasets, normalize_dataset, sheet_payloads
+from ..plans.staging import backfill_layers, scope_import, to_stg_shop_day, to_stg_sku_day
+from ..session import configure, materialise, shared_dir
+from ..sources import landed, sinks
 from ..sources.cells import dense_cells, rows_from_cells
 from ..sources.landed import parse_raw_payload, seed_rows, workbook_identity
 from . import bindings as b
@@ -620,3 +623,144 @@ def layer_reconcile(t: Tables) -> DataFrame:
     )
 
 
+# --- written and read back --------------------------------------------------
+
+
+def _new_path(t: Tables, name: str) -> str:
+    return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(t: Tables) -> DataFrame:
+    """Texts with commas, quotes, line breaks and outer blanks through the CSV writer and the strict reader."""
+    path = _new_path(t, "csv")
+    texts = t.documents.select("doc_id", "text", F.concat(F.lit(' "'), "lang", F.lit('",\n ')).alias("note"))
+    sinks.write_csv(texts, path, ["note", "doc_id", "text"], ["doc_id"])
+    back = landed.read_csv_strict(t.spark, path, "note string, doc_id bigint, text string")
+    return back.select("doc_id", "note", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+@query("raw_rows_json_roundtrip")
+def raw_rows_json_roundtrip(t: Tables) -> DataFrame:
+    path = _new_path(t, "json")
+    exported = t.events.select(
+        F.col("user_id").cast("int").alias("import_file_id"),
+        F.col("event_id").cast("int").alias("row_number"),
+        F.col("event_type").alias("sheet_name"),
+        F.col("props").alias("raw_payload"),
+    )
+    sinks.write_manifest(exported, path)
+    return landed.read_raw_rows_json(t.spark, path).select(
+        "import_file_id", "row_number", "sheet_name", payload_text(F.col("raw_payload"), "k").alias("k_text")
+    )
+
+
+@query("dataset_roundtrip")
+def dataset_roundtrip(t: Tables) -> DataFrame:
+    root = _new_path(t, "family")
+    sinks.write_dataset(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), f"{root}/datasets/{SPU_SOURCE.code}")
+    return landed.read_dataset(t.spark, root, SPU_SOURCE.code)
+
+
+@query("file_fingerprint")
+def file_fingerprint(t: Tables) -> DataFrame:
+    """One text file per supplier, hashed as landed workbooks are."""
+    root = _new_path(t, "files")
+    names = t.supplier.select("s_suppkey", "s_name").repartition("s_suppkey")
+    names.write.partitionBy("s_suppkey").text(root)
+    found = landed.file_fingerprints(t.spark, f"{root}/*/*.txt")
+    supplier = F.regexp_extract("workbook_path", "s_suppkey=([0-9]+)", 1).cast("bigint")
+    return found.select(supplier.alias("s_suppkey"), "workbook_file_hash")
+
+
+@query("published_snapshot")
+def published_snapshot(t: Tables) -> DataFrame:
+    """The second of two rebuilds is the one that readers see."""
+    root = _new_path(t, "published")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    sinks.publish(orders.filter("o_orderstatus = 'F'"), root)
+    sinks.refresh_snapshot(orders.filter("o_orderstatus <> 'F'"), root)
+    return sinks.read_published(t.spark, root)
+
+
+@query("appended_imports")
+def appended_imports(t: Tables) -> DataFrame:
+    """Imports appended in two runs; one sheet of one import is read back."""
+    path = _new_path(t, "layer")
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("row_number"),
+        F.col("o_orderpriority").alias("sheet_name"),
+        (F.col("o_custkey") % 3).cast("int").alias("import_file_id"),
+    )
+    sinks.append_import(rows.filter("import_file_id = 0"), path)
+    sinks.append_import(rows.filter("import_file_id > 0"), path)
+    return scope_import(t.spark.read.parquet(path), 1, "1-URGENT")
+
+
+# --- paths that only large inputs take by themselves ------------------------
+
+
+@query("salted_lookup_join")
+def salted_lookup_join(t: Tables) -> DataFrame:
+    """Three keys hold all line items, so each is split; nothing is broadcast."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
+    flags = rows.groupBy("l_returnflag").agg(F.count("*").alias("flag_rows"), F.max("l_orderkey").alias("last_order"))
+    return lookup_join(rows, flags, ["l_returnflag"], "left", max_rows=0, partitions=64)
+
+
+@query("distributed_rank")
+def distributed_rank(t: Tables) -> DataFrame:
+    """Global and grouped dense ranks through range-partitioned keys, with NULL keys and ties."""
+    rows = t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+        F.when(F.col("l_quantity") > 1, F.col("l_quantity").cast("bigint")).alias("units"),
+    )
+    ranks = [
+        Rank("rank_all", (Order("units", True), Order("l_orderkey"))),
+        Rank("rank_in_flag", (Order("units"),), ("l_returnflag",)),
+    ]
+    return dense_ranks(rows, ranks, single_task_rows=0, broadcast_rows=0)
+
+
+# --- register and dimension look-ups ----------------------------------------
+
+
+@query("latest_imports")
+def latest_imports(t: Tables) -> DataFrame:
+    """The five imports listed last; the limit is the feature."""
+    files = t.orders.select(F.col("o_orderkey").alias("import_file_id"), F.col("o_orderdate").alias("imported_at"))
+    return merge.latest_imports(files, 5).select("import_file_id")
+
+
+@query("union_ids")
+def union_ids(t: Tables) -> DataFrame:
+    return merge.union_ids(t.orders.select(F.col("o_custkey").alias("id")), t.customer.select("c_custkey"))
+
+
+@query("concat_datasets")
+def concat(t: Tables) -> DataFrame:
+    """Datasets with different columns: absent ones are NULL."""
+    return concat_datasets(
+        [
+            t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+            t.supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")),
+            t.part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand")),
+        ]
+    )
+
+
+@query("resolve_shop")
+def resolve(t: Tables) -> DataFrame:
+    """Customers act as shops of the platforms that orders name by status."""
+    platforms = t.orders.select(F.col("o_custkey").alias("platform_id"), F.col("o_orderpriority").alias("platform_code"))
+    shops = t.customer.select(
+        F.col("c_custkey").alias("platform_id"), F.col("c_custkey").alias("shop_id"), F.col("c_mktsegment").alias("shop_code")
+    )
+    return resolve_shop(platforms, shops, "1-URGENT", "BUILDING")
+
+
+@query("lookup_by_code")
+def by_code(t: Tables) -> DataFrame:
+    return lookup_by_code(t.part.select("p_partkey", "p_brand"), "p_brand", "Brand#11")

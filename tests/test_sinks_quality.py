@@ -21,6 +21,13 @@ def test_csv_round_trip(spark, tmp_path):
         landed.read_csv_strict(spark, path, "n int, k int, t string").collect()
 
 
+def test_csv_keeps_line_breaks_quotes_and_blanks(spark, tmp_path):
+    rows = [(1, "a\nb"), (2, ' "quoted", with blanks '), (3, "c\r\nd"), (4, None)]
+    path = str(tmp_path / "csv")
+    sinks.write_csv(spark.createDataFrame(rows, "n int, t string"), path, ["n", "t"], ["n"])
+    assert sorted(map(tuple, landed.read_csv_strict(spark, path, "n int, t string").collect())) == rows
+
+
 def test_publish_keeps_the_last_complete_version(spark, tmp_path):
     root = str(tmp_path / "set")
     with pytest.raises(FileNotFoundError):
