@@ -100,6 +100,27 @@ def test_scores_of_texts(spark, monkeypatch):
     assert bare["n_known"] == 0 and bare["base_score"] == 0
 
 
+@pytest.mark.parametrize("unit", [5_000, 8 << 20])
+def test_sharded_tree_equals_whole_tree(spark, monkeypatch, unit):
+    rng = random.Random(8)
+    if unit < 10_000:
+        monkeypatch.setattr(context_tree, "UNIT_BYTES", unit)
+        monkeypatch.setattr(context_tree, "SHARD_BYTES", 700)
+        rows = [(i, t) for i, t in enumerate([*texts(200), "", None, "zz! never met %", "ba " * 4000])]
+    else:  # over 700,000 distinct pairs
+        rows = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789 .,;:-+()[]{}<>/=_&%$!?", k=9000))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    training = docs.where("doc_id % 9 != 0")
+    body = lambda t: np.frombuffer((t or "").encode(), np.uint8)
+    keys, n = np.unique(np.concatenate([context_tree.pair_keys(body(t)) for i, t in rows if i % 9]), return_counts=True)
+    assert unit < 10_000 or len(keys) > 700_000
+    tree = context_tree.ContextTree(keys, n.astype(float), 8)
+    got = {r["doc_id"]: r["score"] for r in context_tree.score_texts(docs, training).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert abs(got[i] - tree.score(body(t))) < 1e-4 * (1 + len(t or ""))**0.5
+
+
 def test_edits():
     rng = random.Random(9)
     counter = token_edits.Counter(token_edits.VOCABULARY)
