@@ -22,9 +22,12 @@ _MEMO = 300_000
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 _SIGNS = re.escape("".join(LEET))
 _EDGES = ".,;:?!\"'()[]{}<>%&#*|~`^=/\\-_"
-_SUSPECT = re.compile(rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|^[{_SIGNS}]{{1,2}}[^\W\d_]{{2}}|[^\W\d_][{_SIGNS}]$|([^\W\d_])\1\1|[^\W\d_][.*_\-]+[^\W\d_]")
-_SPACED = re.compile(r"(?<!\S)(?:[\w@$!*][ .\-_*]){3,}[\w@$!*](?!\S)")
-_GAPS = " .-_*"
+_PUNCTUATION = "".join(c for c in _EDGES if c not in LEET)
+_LETTER, _SIGN = re.compile(r"[^\W\d_]"), re.compile(rf"[{_SIGNS}.*_\-]")
+_DOUBLED = re.compile(rf"([^\W\d_])\1|[@$!|+€].*[@$!|+€]", re.DOTALL)
+_ONE = r"[^\W_]|[@$!|+€]"
+_SPACED = re.compile(rf"(?<![^\W_])(?<![@$|+€])(?:(?:{_ONE})[\s.\-_*]+){{3,}}(?:{_ONE})(?![^\W_@$|+€])(?![@$|+€])")
+_GAPS = " .-_*\t\n\r\v\f"
 
 _OTHER, SYMBOLS = 27, 28
 _SYMBOL = np.zeros(256, np.uint8)
@@ -59,31 +62,46 @@ def _of(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else _OTHER if c.isalpha() else 0
 
 
-def restore(token: str, model: list) -> str:
+#: What a boundary between two words costs at a gap.
+_BOUNDARY = -3.0
+
+
+def restore(token: str, model: list, split: bool = False) -> str:
     """The likeliest plain word behind ``token``: Viterbi over a lattice in which a sign may be itself, stand for a letter or
-    be a filler, and a repeated letter may be dropped; the character model weighs the paths."""
-    paths: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+    be a filler, and a repeated letter may be dropped; with ``split`` a gap may also end a word. The character model weighs
+    the paths."""
+    paths: dict[tuple[int, int, str], tuple[float, tuple]] = {(0, 0, ""): (0.0, ())}
     for i, o in enumerate(token):
         ways: list[tuple[str, float]] = []
+        gap = o in _GAPS or o.isspace()
         if o.isalpha():
             ways.append((o, 0.0))
             if i and token[i - 1] == o:
                 ways.append(("", -0.7 if token[i - 2 : i] == o + o or token[i : i + 2] == o + o else -4.0))
         else:
             ways += [(c, -1.0) for c in LEET.get(o, "")]
-            ways.append(("", -0.3 if o in _GAPS else -9.0 if o in LEET else -5.0))
-        further: dict[tuple[int, int, str], tuple[float, str]] = {}
+            ways.append(("", -0.3 if gap else -9.0 if o in LEET else -5.0))
+            if split and gap and i and token[i - 1] not in _GAPS:
+                ways.append((" ", _BOUNDARY))
+        further: dict[tuple[int, int, str], tuple[float, tuple]] = {}
         for (a, b, last), (score, text) in paths.items():
             for c, cost in ways:
-                if c:
+                if c == " ":
+                    key, value = (0, 0, ""), (score + cost + model[a][b][0], (text, c))
+                elif c:
                     s = _of(c)
-                    key, value = (b, s, c), (score + cost + model[a][b][s], text + c)
+                    key, value = (b, s, c), (score + cost + model[a][b][s], (text, c))
                 else:
                     key, value = (a, b, last), (score + cost, text)
-                if key not in further or further[key] < value:
+                if key not in further or further[key][0] < value[0]:
                     further[key] = value
         paths = further
-    return max((score + model[a][b][0], text) for (a, b, _), (score, text) in paths.items())[1]
+    _, text = max(((score + model[a][b][0], text) for (a, b, _), (score, text) in paths.items()), key=lambda p: p[0])
+    letters = []
+    while text:
+        text, c = text
+        letters.append(c)
+    return "".join(reversed(letters))
 
 
 class Restorer:
@@ -93,11 +111,23 @@ class Restorer:
         self.model, self.memo = model.tolist(), {}
 
     def word(self, token: str) -> str:
+        """The reading in which signs at the edges are punctuation."""
         core = token.strip(_EDGES)
         core = core.rstrip("$") if core.endswith("$$") else core
-        if not _SUSPECT.search(core):
-            return core
-        return restore(core, self.model)
+        return self._restored(core)
+
+    def _restored(self, core: str) -> str:
+        suspect = (_SIGN.search(core) and _LETTER.search(core)) or _DOUBLED.search(core)
+        return restore(core, self.model) if suspect else core
+
+    def readings(self, token: str) -> set[str]:
+        """The token as it stands and restored, with signs at its edges as punctuation and as letters."""
+        core = token.strip(_EDGES)
+        whole = token.strip(_PUNCTUATION)
+        bare = core.rstrip("$") if core.endswith("$$") else core
+        found = {core, bare}
+        found |= {self._restored(x) for x in {whole, whole.rstrip("!|"), whole.lstrip("!|"), core, bare}}
+        return found - {""}
 
     def words(self, text: str) -> list[str]:
         return [self.word(w) for w in set(text.split())] + self.spaced(text)
@@ -105,6 +135,19 @@ class Restorer:
     def spaced(self, text: str) -> list[str]:
         return [restore(m.group().strip(_EDGES + " "), self.model) for m in _SPACED.finditer(text)]
 
+    def spaced_readings(self, text: str) -> set[str]:
+        """Words behind letters that stand apart: as one word, split by the lattice or at wider gaps, and without a word of
+        one letter at either end."""
+        found = set()
+        for m in _SPACED.finditer(text):
+            run = m.group()
+            for part in {run, *re.split(r"\s{2,}", run)}:
+                for x in {part, part.strip(_EDGES + " ")}:
+                    inner = [re.sub(r"^\w[\s.\-_*]+", "", x), re.sub(r"[\s.\-_*]+\w$", "", x)]
+                    found |= {restore(y, self.model) for y in (x, *inner)}
+                    found.update(restore(x, self.model, split=True).split())
+        return found - {""}
+
 
 def _marks(word: str) -> list[str]:
     """A word and its beginnings, which stand for words of one stem."""
@@ -118,9 +161,9 @@ def _words_of(restorer: Restorer, lookup, memo: dict, text: str) -> set:
         if marks is None:
             if len(memo) >= _MEMO:
                 memo.clear()
-            marks = memo[token] = lookup(restorer.word(token))
+            marks = memo[token] = list({m for word in restorer.readings(token) for m in lookup(word)})
         found.update(marks)
-    for word in restorer.spaced(low):
+    for word in restorer.spaced_readings(low):
         found.update(lookup(word))
     return found
 

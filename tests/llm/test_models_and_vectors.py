@@ -183,6 +183,15 @@ def test_restoring_words(labelled):
     assert restorer.word("plain") == "plain" and restorer.word("2024") == "2024"
 
 
+def test_disguises_at_edges_doubled_and_spaced(labelled):
+    restorer = toxicity.Restorer(toxicity.character_model(labelled.select("doc_id", "text")))
+    for token, plain in [("!diot", "idiot"), ("|diot", "idiot"), ("!diot!", "idiot"), ("id!ot!", "idiot"), ("1d10t", "idiot"), ("1d10+", "idiot"), ("sccum", "scum"), ("moorron", "moron"), ("scum$$", "scum"), ("plain", "plain"), ("2024", "2024")]:
+        assert plain in restorer.readings(token), (token, restorer.readings(token))
+    for text in ["m o r o n!", "m o r o n, x", "(m o r o n)", "m  o  r  o  n", "m\no\nr\no\nn", "a m o r o n", "m o r o n", "what m o r o n !"]:
+        assert "moron" in restorer.spaced_readings(text), (text, restorer.spaced_readings(text))
+    assert "ass" in {r[:3] for r in restorer.readings("a$$")}
+
+
 def test_cotraining(labelled):
     docs, labels = labelled.drop("toxic", "quality"), labelled.select("doc_id", "quality").where("doc_id % 3 = 0")
     got = {r["doc_id"]: r["score"] for r in cotraining.score(docs, cotraining.train(docs, labels)).collect()}
