@@ -7,14 +7,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm._shared import FOLD5, SPACED, fold, text_views, word_bounds
-
-#: Most labelled rows that the classifiers are fitted on, and most unlabelled rows that they label for each other.
-TRAIN_ROWS, POOL_ROWS = 8_000, 8_000
-ROUNDS, CONFIDENT = 4, 0.95
+from salesmart.session import materialise
+
+#: Most labelled rows that the classifiers are fitted on; all unlabelled rows outside the held-out fold teach.
+TRAIN_ROWS = 8_000
+#: Rounds of teaching, the certainty a pseudo-label needs, and the most that all of them weigh, per labelled row.
+ROUNDS, CONFIDENT, TAUGHT = 4, 0.95, 0.3
+#: Rows of sums that reach the driver for each step and view.
+_SUMS = 16
 TEXT_FEATURES, META_FEATURES = 20, 64
 _SIGN = np.zeros(256, bool)
 _SIGN[[*b"%*&$#@^~|<>{}[]=+_\\/"]] = True
@@ -82,20 +87,98 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Newton steps with a small ridge."""
-    w = np.zeros(x.shape[1])
+def _dense(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    text = batch.column("text_view").flatten().to_numpy().reshape(-1, TEXT_FEATURES)
+    meta = np.zeros((batch.num_rows, META_FEATURES))
+    np.put_along_axis(meta, batch.column("meta_on").flatten().to_numpy().reshape(batch.num_rows, -1), 1.0, 1)
+    return text, meta
+
+
+def _pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both views of unlabelled rows, the sparse one by the places of its ones."""
+    for batch in batches:
+        text, meta = _views(batch)
+        on = [np.flatnonzero(m) for m in meta]
+        yield pa.RecordBatch.from_arrays([pa.array(list(text), pa.list_(pa.float64())), pa.array(on, pa.list_(pa.int64()))], names=["text_view", "meta_on"])
+
+
+def _sums(teach: list, learn: list):
+    """Number, gradient and Hessian of the rows that the other view is sure of, summed in each task for both views."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = [0.0, 0.0]
+        g = [np.zeros(len(w)) for w in learn]
+        h = [np.zeros((len(w), len(w))) for w in learn]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            views = _dense(batch)
+            for v in (0, 1):  # each is taught by the other
+                p = 1 / (1 + np.exp(-np.clip(views[1 - v] @ teach[1 - v], -30, 30)))
+                sure = np.maximum(p, 1 - p) >= CONFIDENT
+                x, q = views[v][sure], 1 / (1 + np.exp(-np.clip(views[v][sure] @ learn[v], -30, 30)))
+                n[v] += len(x)
+                g[v] += x.T @ (q - (p[sure] >= 0.5))
+                h[v] += (x * (q * (1 - q))[:, None]).T @ x
+        part = TaskContext.get().partitionId()
+        sums = [np.concatenate([[n[v]], g[v], h[v].ravel()]) for v in (0, 1)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([0, 1], pa.int32()), pa.array([part % _SUMS] * 2, pa.int32()), pa.array([part] * 2, pa.int32()), pa.array(sums, pa.list_(pa.float64()))], names=["view", "slot", "part", "sums"]
+        )
+
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    rows = table.sort_by("part")
+    total = np.sum(np.array(rows.column("sums").to_pylist()), 0)
+    return pa.table({"view": rows.column("view")[:1], "slot": rows.column("slot")[:1], "sums": pa.array([total], pa.list_(pa.float64()))})
+
+
+def _taught_by(pool: DataFrame):
+    """What the whole pool adds to a Newton step of both views; only sums of fixed size reach the driver."""
+
+    def step(teach: list, learn: list) -> list[tuple]:
+        sums = pool.mapInArrow(_sums(teach, learn), "view int, slot int, part int, sums array<double>")
+        rows = sums.groupBy("view", "slot").applyInArrow(_added, "view int, slot int, sums array<double>").collect()
+        out = []
+        for v, w in enumerate(learn):
+            k = len(w)
+            total = np.zeros(1 + k + k * k)
+            for r in sorted((r for r in rows if r["view"] == v), key=lambda r: r["slot"]):
+                total += np.array(r["sums"])
+            out.append((total[0], total[1 : 1 + k], total[1 + k :].reshape(k, k)))
+        return out
+
+    return step
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return _newton([x], y, [np.zeros(x.shape[1])], None)[0]
+
+
+def _newton(views: list, y: np.ndarray, start: list, taught) -> list[np.ndarray]:
+    """Newton steps with a small ridge, of all views at once. Taught rows weigh 0.3 each as long as they are no more than the
+    labelled ones, and 0.3 for each labelled row together if they are more, so that they cannot drown the labels."""
+    w = [np.array(x) for x in start]
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (weight * p * (1 - p) + 1e-6)[:, None]).T @ x + 0.1 * np.eye(x.shape[1])
-        w = w - np.linalg.solve(h, x.T @ (weight * (p - y)) + 0.1 * w)
+        more, moved = taught(w) if taught else [(0.0, 0.0, 0.0)] * len(w), 0.0
+        for v, x in enumerate(views):
+            n, g, h = more[v]
+            weight = TAUGHT * min(1.0, len(y) / max(1.0, n))
+            p = 1 / (1 + np.exp(-np.clip(x @ w[v], -30, 30)))
+            hessian = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + weight * h + 0.1 * np.eye(x.shape[1])
+            by = np.linalg.solve(hessian, x.T @ (p - y) + weight * g + 0.1 * w[v])
+            w[v], moved = w[v] - by, max(moved, float(np.abs(by).max()))
+        if moved < 1e-8:
+            break
     return w
 
 
 class CoTrained:
     """Two classifiers, each calibrated on labelled rows neither was fitted on, and the prior they share."""
 
-    def __init__(self, labelled: tuple, pool: tuple):
+    def __init__(self, labelled: tuple, taught=None):
         views, y = labelled[:2], labelled[2]
         self.constant = None if len(set(y.tolist())) == 2 else float(y.mean()) if len(y) else 0.5
         if self.constant is not None:
@@ -103,24 +186,15 @@ class CoTrained:
         tune = np.arange(len(y)) % 4 == 0  # rows come in the order of a hash
         if len(set(y[tune].tolist())) < 2 or len(set(y[~tune].tolist())) < 2:
             tune = np.zeros(len(y), bool)
-        taught: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * 2
-        self.w = [np.zeros(0)] * 2
-        for round_ in range(ROUNDS + 1):
-            for v in (0, 1):
-                rows, said = taught[v]
-                x = np.concatenate([views[v][~tune], pool[v][rows]])
-                target = np.concatenate([y[~tune], said])
-                self.w[v] = _logistic(x, target, np.concatenate([np.ones((~tune).sum()), np.full(len(rows), 0.3)]))
-            if round_ == ROUNDS or not len(pool[0]):
-                break
-            p = [1 / (1 + np.exp(-pool[v] @ self.w[v])) for v in (0, 1)]
-            for v in (0, 1):  # each is taught by the other
-                sure = np.flatnonzero(np.maximum(p[1 - v], 1 - p[1 - v]) >= CONFIDENT)
-                taught[v] = (sure, (p[1 - v][sure] >= 0.5).astype(float))
+        fit, said = [x[~tune] for x in views], y[~tune]
+        self.w = _newton(fit, said, [np.zeros(x.shape[1]) for x in views], None)
+        for _ in range(ROUNDS if taught else 0):
+            teach = self.w
+            self.w = _newton(fit, said, teach, lambda learn, teach=teach: taught(teach, learn))
         check = tune if tune.any() else ~tune
-        self.calibration = [_logistic(np.stack([np.ones(check.sum()), views[v][check] @ self.w[v]], 1), y[check], np.ones(check.sum())) for v in (0, 1)]
+        self.calibration = [_logistic(np.stack([np.ones(check.sum()), views[v][check] @ self.w[v]], 1), y[check]) for v in (0, 1)]
         z = np.stack([np.ones(check.sum()), *(self._calibrated(v, views[v][check]) for v in (0, 1))], 1)
-        self.mix = _logistic(z, y[check], np.ones(check.sum()))
+        self.mix = _logistic(z, y[check])
 
     def _calibrated(self, v: int, x: np.ndarray) -> np.ndarray:
         a, b = self.calibration[v]
@@ -145,25 +219,23 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool_rows: int = POOL_ROWS) -> CoTrained:
-    """Classifiers from at most ``train_rows`` labelled rows outside the held-out fold and ``pool_rows`` rows without a label,
-    both taken in the order of a hash of the id. Only their feature vectors reach the driver. Rows of the held-out fold are
-    in neither. Without labels of both kinds every document gets the share of label 1 (0.5 without labels)."""
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> CoTrained:
+    """Classifiers from at most ``train_rows`` labelled rows outside the held-out fold, taken in the order of a hash of the
+    id, and from all rows without a label. Of labelled rows feature vectors reach the driver, of the others sums of fixed
+    size. Rows of the held-out fold and rows without id are in neither. Without labels of both kinds every document gets the
+    share of label 1 (0.5 without labels)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     seen = (fold(F.col("doc_id"), FOLD5) != 0) & F.col("doc_id").isNotNull()
-    order = (F.xxhash64("doc_id"), "doc_id")
-    chosen = known.where(seen).orderBy(*order).limit(train_rows)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(seen).join(known, "doc_id", "left_anti").distinct()
-    free = ids.orderBy(*order).limit(pool_rows).withColumn("label", F.lit(-1))
-    picked = chosen.unionByName(free)  # bounded by the two parameters
-    got = _rows(docs).join(F.broadcast(picked), "doc_id").mapInArrow(_extract, "doc_id long, label int, text_view array<double>, meta_view array<double>")
+    chosen = known.where(seen).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)  # bounded by train_rows
+    got = _rows(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(_extract, "doc_id long, label int, text_view array<double>, meta_view array<double>")
     table = got.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    views = [np.array(table.column(c).to_pylist(), float).reshape(table.num_rows, -1) for c in ("text_view", "meta_view")]
-    if not table.num_rows:
-        views = [np.zeros((0, TEXT_FEATURES)), np.zeros((0, META_FEATURES))]
-    label = table.column("label").to_numpy()
-    on = label >= 0
-    return CoTrained((views[0][on], views[1][on], label[on].astype(float)), (views[0][~on], views[1][~on]))
+    views = [np.array(table.column(c).to_pylist(), float).reshape(table.num_rows, n) for c, n in (("text_view", TEXT_FEATURES), ("meta_view", META_FEATURES))]
+    label = table.column("label").to_numpy().astype(float)
+    if len(set(label.tolist())) < 2:
+        return CoTrained((*views, label))
+    free = _rows(docs).where(seen).join(known.select("doc_id"), "doc_id", "left_anti")
+    pool = materialise(free.mapInArrow(_pool, "text_view array<double>, meta_on array<long>"))
+    return CoTrained((*views, label), _taught_by(pool))
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:

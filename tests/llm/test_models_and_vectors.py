@@ -198,3 +198,31 @@ def test_cotraining(labelled):
     truth = {r["doc_id"]: r["quality"] for r in labelled.collect() if r["quality"] is not None}
     assert sum((got[d] >= 0.5) == bool(t) for d, t in truth.items()) >= 0.97 * len(truth) and len(got) == 602
     assert {r["score"] for r in cotraining.score(docs, cotraining.train(docs, labels.limit(0))).collect()} == {0.5}
+
+
+def test_whole_pool_teaches(spark, labelled, monkeypatch):
+    docs, labels = labelled.drop("toxic", "quality"), labelled.select("doc_id", "quality").where("doc_id % 3 = 0")
+    far = spark.range(10_000, 30_000).selectExpr("id AS doc_id", "'ba na ko' AS text", "'xx' AS lang", "'new' AS source", "9L AS n_chars")
+    taught, seen = cotraining._taught_by, []
+
+    def watched(pool):
+        seen.append(pool.count())
+        step = taught(pool)
+
+        def sums(teach, learn):
+            out = step(teach, learn)
+            rows = pool.toArrow().combine_chunks().to_batches()
+            x = [np.concatenate(c) for c in zip(*map(cotraining._dense, rows), strict=True)]
+            for v in (0, 1):
+                p = 1 / (1 + np.exp(-(x[1 - v] @ teach[1 - v])))
+                sure = np.maximum(p, 1 - p) >= cotraining.CONFIDENT
+                q = 1 / (1 + np.exp(-np.clip(x[v][sure] @ learn[v], -30, 30)))
+                assert out[v][0] == sure.sum() and np.allclose(out[v][1], x[v][sure].T @ (q - (p[sure] >= 0.5)))
+            return out
+
+        return sums
+
+    monkeypatch.setattr(cotraining, "_taught_by", watched)
+    monkeypatch.setattr(cotraining, "ROUNDS", 1)
+    cotraining.train(docs.unionByName(far), labels)
+    assert seen[0] > 8_000 and seen[0] == docs.unionByName(far).where("doc_id % 3 != 0 OR doc_id > 600").where("crc32(cast(string(doc_id) AS binary)) % 5 != 0").count()
