@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import context_tree, cotraining, decontamination, kd_search, line_dedup, minhash_dedup, mixing, suffix_dedup, token_edits, toxicity
+from salesmart.llm import (
+    byte_bpe,
+    context_tree,
+    cotraining,
+    decontamination,
+    kd_search,
+    line_dedup,
+    merkle_manifest,
+    minhash_dedup,
+    mixing,
+    periodic_runs,
+    suffix_dedup,
+    token_edits,
+    toxicity,
+)
 from salesmart.llm._shared import FOLD5, FOLD7, fold
 
 
@@ -77,6 +91,45 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text")))
+    greatest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    digest = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    rows = found.select("doc_id", "runs", "collapsed", greatest.alias("g"), digest.alias("digest"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("g.s").alias("start"),
+        (-F.col("g.l")).alias("length"),
+        F.col("g.p").alias("period"),
+        F.floor(-1000 * F.col("g.l") / F.col("g.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.col("digest").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaf, changed = merkle_manifest.leaf_digest(), merkle_manifest.leaf_digest(text=merkle_manifest.lowered(F.col("text")))
+    proofs = merkle_manifest.prove(merkle_manifest.build(docs, F.when(struck, changed).otherwise(leaf)))
+    done = merkle_manifest.verify(proofs.withColumn("proof_sha256", F.sha2(F.col("siblings").cast("binary"), 256)))
+    return done.select(F.col("row_id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_kd_search": op1_kd_search,
     "op2_line_dedup": op2_line_dedup,
@@ -88,6 +141,9 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
