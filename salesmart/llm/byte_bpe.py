@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -192,7 +193,7 @@ class Merger(dict):
         self.blob = np.frombuffer(b"".join(self.tokens), np.uint8)
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = np.array(self.merge(piece), np.int32).tobytes()
+        ids = array("i", self.merge(piece)).tobytes()
         if len(piece) <= REMEMBERED:
             if len(self) >= MEMO:
                 self.clear()
@@ -200,12 +201,31 @@ class Merger(dict):
         return ids
 
     def merge(self, piece: bytes) -> list[int]:
-        """Adjacent parts with the least rank are joined, the leftmost first, until no pair has a rank. A heap names the next
-        pair; entries whose parts have changed since are stale."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
-        n = len(piece)
+        """Adjacent parts with the least rank are joined, the leftmost first, until no pair has a rank."""
+        if piece in self.ranks:
+            return [self.ranks[piece]]
+        return self._few(piece) if len(piece) <= REMEMBERED else self._many(piece)
+
+    def _few(self, piece: bytes) -> list[int]:
+        """The ranks of all pairs stand in a list, which is searched for the least one each time."""
+        get, none = self.ranks.get, len(self.tokens)
+        cuts = list(range(len(piece) + 1))
+        pairs = [get(piece[i : i + 2], none) for i in cuts[:-2]]
+        while pairs:
+            least = min(pairs)
+            if least == none:
+                break
+            i = pairs.index(least)
+            del pairs[i], cuts[i + 1]
+            if i < len(pairs):
+                pairs[i] = get(piece[cuts[i] : cuts[i + 2]], none)
+            if i:
+                pairs[i - 1] = get(piece[cuts[i - 1] : cuts[i + 1]], none)
+        return [self.ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:])]
+
+    def _many(self, piece: bytes) -> list[int]:
+        """A heap names the next pair; entries whose parts have changed since are stale."""
+        ranks, n = self.ranks, len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n))  # the part that begins at i ends at after[i]
         heap = [(ranks[piece[i : i + 2]], i, i + 2) for i in range(n - 1) if piece[i : i + 2] in ranks]
         heapq.heapify(heap)
