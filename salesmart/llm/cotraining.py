@@ -11,22 +11,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm._shared import FOLD5, SPACED, fold, text_views, word_bounds
+from salesmart.llm._shared import FOLD5, SPACED, U64, fold, text_views, word_bounds, word_hashes
 from salesmart.session import materialise
 
 #: Most labelled rows that the classifiers are fitted on; all unlabelled rows outside the held-out fold teach.
 TRAIN_ROWS = 8_000
-#: Rounds of teaching, the certainty a pseudo-label needs, and the most that all of them weigh, per labelled row.
+#: Rounds of teaching, the certainty a pseudo-label needs, and the most that all of them together weigh, per labelled row.
 ROUNDS, CONFIDENT, TAUGHT = 4, 0.95, 0.3
+#: Newton steps end when no weight moves by more.
+STILL = 1e-4
 #: Rows of sums that reach the driver for each step and view.
 _SUMS = 16
-TEXT_FEATURES, META_FEATURES = 20, 64
+#: Hashed words; statistics of the bytes and lines before them.
+WORD_FEATURES = 64
+TEXT_FEATURES, META_FEATURES = 20 + WORD_FEATURES, 64
 _SIGN = np.zeros(256, bool)
 _SIGN[[*b"%*&$#@^~|<>{}[]=+_\\/"]] = True
 
 
 def text_features(body: np.ndarray) -> np.ndarray:
-    """Shares of kinds of bytes, word and line statistics of a whole text."""
+    """Shares of kinds of bytes, word and line statistics of a whole text, and how its words fall into hashed groups."""
     n = max(1, len(body))
     counts = np.bincount(body, minlength=256)
     starts, stops = word_bounds(body, SPACED)
@@ -36,7 +40,8 @@ def text_features(body: np.ndarray) -> np.ndarray:
     words = max(1, len(starts))
     lines = int(counts[10]) + 1
     upper, lower, digits = counts[65:91].sum(), counts[97:123].sum(), counts[48:58].sum()
-    return np.array(
+    words_in = np.bincount((word_hashes(body, SPACED) >> U64(58)).astype(np.int64), minlength=WORD_FEATURES) / words
+    statistics = np.array(
         [
             1.0,
             np.log1p(len(body)) / 10,
@@ -60,6 +65,7 @@ def text_features(body: np.ndarray) -> np.ndarray:
             float(len(starts) == 0),
         ]
     )
+    return np.concatenate([statistics, 4 * words_in])
 
 
 def meta_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
@@ -88,18 +94,19 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _dense(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    text = batch.column("text_view").flatten().to_numpy().reshape(-1, TEXT_FEATURES)
+    text = batch.column("text_view").flatten().to_numpy().astype(float).reshape(-1, TEXT_FEATURES)
     meta = np.zeros((batch.num_rows, META_FEATURES))
     np.put_along_axis(meta, batch.column("meta_on").flatten().to_numpy().reshape(batch.num_rows, -1), 1.0, 1)
     return text, meta
 
 
 def _pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both views of unlabelled rows, the sparse one by the places of its ones."""
+    """Both views of a row, the sparse one by the places of its ones: some 400 bytes, however long the text."""
     for batch in batches:
         text, meta = _views(batch)
         on = [np.flatnonzero(m) for m in meta]
-        yield pa.RecordBatch.from_arrays([pa.array(list(text), pa.list_(pa.float64())), pa.array(on, pa.list_(pa.int64()))], names=["text_view", "meta_on"])
+        views = [pa.array(list(text.astype(np.float32)), pa.list_(pa.float32())), pa.array(on, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *views], names=["doc_id", "text_view", "meta_on"])
 
 
 def _sums(teach: list, learn: list):
@@ -158,19 +165,19 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _newton(views: list, y: np.ndarray, start: list, taught) -> list[np.ndarray]:
-    """Newton steps with a small ridge, of all views at once. Taught rows weigh 0.3 each as long as they are no more than the
-    labelled ones, and 0.3 for each labelled row together if they are more, so that they cannot drown the labels."""
+    """Newton steps with a small ridge, of all views at once. All taught rows weigh alike; n of them beside m labelled
+    ones weigh 0.3 m n / (n + m) together, one formula for a pool of any size, in which they never drown the labels."""
     w = [np.array(x) for x in start]
     for _ in range(25):
         more, moved = taught(w) if taught else [(0.0, 0.0, 0.0)] * len(w), 0.0
         for v, x in enumerate(views):
             n, g, h = more[v]
-            weight = TAUGHT * min(1.0, len(y) / max(1.0, n))
+            weight = TAUGHT * len(y) / (n + len(y))
             p = 1 / (1 + np.exp(-np.clip(x @ w[v], -30, 30)))
             hessian = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + weight * h + 0.1 * np.eye(x.shape[1])
             by = np.linalg.solve(hessian, x.T @ (p - y) + weight * g + 0.1 * w[v])
             w[v], moved = w[v] - by, max(moved, float(np.abs(by).max()))
-        if moved < 1e-8:
+        if moved < STILL:
             break
     return w
 
@@ -221,7 +228,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> CoTrained:
     """Classifiers from at most ``train_rows`` labelled rows outside the held-out fold, taken in the order of a hash of the
-    id, and from all rows without a label. Of labelled rows feature vectors reach the driver, of the others sums of fixed
+    id, and from all rows without a label. Rows that repeat an id all have its label, and each counts. Of labelled rows feature vectors reach the driver, of the others sums of fixed
     size. Rows of the held-out fold and rows without id are in neither. Without labels of both kinds every document gets the
     share of label 1 (0.5 without labels)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -233,8 +240,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> C
     label = table.column("label").to_numpy().astype(float)
     if len(set(label.tolist())) < 2:
         return CoTrained((*views, label))
-    free = _rows(docs).where(seen).join(known.select("doc_id"), "doc_id", "left_anti")
-    pool = materialise(free.mapInArrow(_pool, "text_view array<double>, meta_on array<long>"))
+    # The views are taken on the scan; what is matched with the labels, and shuffled where those are many, are narrow rows.
+    views_of = _rows(docs).where(seen).mapInArrow(_pool, "doc_id long, text_view array<float>, meta_on array<int>")
+    pool = materialise(views_of.join(known.select("doc_id"), "doc_id", "left_anti").select("text_view", "meta_on"))
     return CoTrained((*views, label), _taught_by(pool))
 
 
