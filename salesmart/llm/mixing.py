@@ -61,43 +61,79 @@ def mix(docs: DataFrame, levels: list[Column], weights: list[dict[str, float]],
     of about 10,000 rows by ranges of the hash: sums of buckets find the one in which the budget ends, and only that one is
     sorted, so a leaf with a third of all rows is never one task's work.
 
+    Twins (rows with one doc_id, also none, one text and one group) stand side by side and each counts. They are counted
+    before anything is sorted, so any number of them is one entry; where the budget ends among twins, as many as fit get the
+    turn, whichever they are.
+
     A null group counts as the group "none"; empty texts have no tokens and come along wherever they fall into the prefix;
-    an empty table gives no rows; repeated rows are ordered side by side and each counts.
+    an empty table gives no rows. Columns named l0.., n_tokens and epoch are replaced; others keep name and value.
     """
     depth = len(levels)
     path = [f"l{i}" for i in range(depth)]
     own = [c for c in docs.columns if c not in {*path, "n_tokens", "epoch"}]
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in own],
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("own"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
         *[F.coalesce(level.cast("string"), F.lit("none")).alias(p) for level, p in zip(levels, path, strict=True)],
         _n_words(F.coalesce("text", F.lit(""))).alias("n_tokens"),
     )
-    slim = materialise(rows.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__key"), *path, "n_tokens"))
-    leaves = slim.groupBy(*path).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_rows"))
+    twin = ["doc_id", "key", *path, "n_tokens"]
+    slim = rows.select(F.col("own.doc_id").alias("doc_id"), *twin[1:])
+    twins = materialise(slim.groupBy(*twin).agg(F.count("*").alias("n_twins")).withColumn("t", F.col("n_tokens") * F.col("n_twins")))
+    leaves = twins.groupBy(*path).agg(F.sum("t").alias("tokens"), F.sum("n_twins").alias("n_rows"))
     plan = leaves.join(leaf_budgets(leaves, depth, weights, share, max_epochs), path)
     plan = plan.withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("int"))
     plan = plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")).withColumn("buckets", F.ceil(F.col("n_rows") / ROWS_PER_BUCKET))
     plan = materialise(plan.select(*path, "whole", "rest", "buckets"))
-    place = F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id"), F.col("__key"))
-    placed = slim.join(plan, path).withColumn("__at", place)
-    placed = placed.withColumn("__bucket", F.floor((F.col("__at") / F.lit(2.0**64) + 0.5) * F.col("buckets")).cast("long"))
-    sums = placed.groupBy(*path, "rest", "__bucket").agg(F.sum("n_tokens").alias("t"))
-    before = Window.partitionBy(*path).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = twins.join(plan, path).withColumn("at", F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id"), F.col("key")))
+    placed = placed.withColumn("bucket", F.floor((F.col("at") / F.lit(2.0**64) + 0.5) * F.col("buckets")).cast("long"))
+    sums = placed.groupBy(*path, "rest", "bucket").agg(F.sum("t").alias("t"))
+    before = Window.partitionBy(*path).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("t").over(before), F.lit(0).cast("long")))
-    sums = materialise(sums.where(F.col("before") <= F.col("rest")).select(*path, "__bucket", "before", (F.col("before") + F.col("t") <= F.col("rest")).alias("fits")))
-    met = placed.join(sums, [*path, "__bucket"])
-    inside = Window.partitionBy(*path, "__bucket").orderBy("__at", "doc_id", "__key").rowsBetween(Window.unboundedPreceding, 0)
-    edge = met.where("NOT fits").withColumn("upto", F.col("before") + F.sum("n_tokens").over(inside)).where("upto <= rest")
-    last = [*path, "doc_id", "__key", "whole"]
-    partial = met.where("fits").select(last).unionByName(edge.select(last)).groupBy("doc_id", "__key", *path).agg(F.count("*").alias("n_last"))
-    left = rows.withColumn("__k", F.xxhash64(F.coalesce("text", F.lit("")))).join(plan.select(*path, "whole"), path)
-    part = partial.select(F.col("doc_id").alias("__doc"), "__key", *[F.col(p).alias(f"__{p}") for p in path], "n_last")
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__k") == F.col("__key"))
-    for p in path:
-        same = same & (F.col(p) == F.col(f"__{p}"))
-    turns = F.col("whole") + F.when(F.col("n_last") > 0, 1).otherwise(0)
-    full = left.join(part, same, "left").where(turns > 0)
-    return full.select(*[F.col(f"`{c}`") for c in own], *path, "n_tokens", F.explode(F.sequence(F.lit(0), turns - 1)).alias("epoch"))
+    sums = materialise(sums.where(F.col("before") <= F.col("rest")).select(*path, "bucket", "before", (F.col("before") + F.col("t") <= F.col("rest")).alias("fits")))
+    met = placed.join(sums, [*path, "bucket"])
+    inside = Window.partitionBy(*path, "bucket").orderBy("at", "doc_id", "key").rowsBetween(Window.unboundedPreceding, 0)
+    edge = met.where("NOT fits").withColumn("upto", F.col("before") + F.sum("t").over(inside)).where("upto - t <= rest")
+    fit = F.when(F.col("upto") <= F.col("rest"), F.col("n_twins")).otherwise(F.floor((F.col("rest") - F.col("upto") + F.col("t")) / F.col("n_tokens")))
+    taken = [*twin[:-1], "n_twins", "n_last"]
+    last = met.where("fits").withColumn("n_last", F.col("n_twins")).select(taken).unionByName(edge.withColumn("n_last", fit.cast("long")).select(taken))
+    last = materialise(last.where("n_last > 0"))
+    halves = last.where("n_last < n_twins")  # at most one group of equal rows for each leaf: where its budget ends
+
+    def matched(part: DataFrame, how: str) -> DataFrame:
+        named = part.select(F.struct(*taken).alias("found"))
+        same = F.col("own.doc_id").eqNullSafe(F.col("found.doc_id"))
+        for c in twin[1:-1]:
+            same = same & (F.col(c) == F.col(f"found.{c}"))
+        return rows.join(plan.select(*path, "whole"), path).join(named, same, how)
+
+    some = F.coalesce(F.col("found.n_last"), F.lit(0))
+    turns = F.col("whole") + (some > 0).cast("int")
+    if halves.isEmpty():
+        done = matched(last, "left")
+    else:
+        done = matched(last, "left").where((some == 0) | (some == F.col("found.n_twins"))).withColumn("turns", turns)
+        cut = _numbered(matched(halves, "inner"), twin[:-1])
+        done = done.unionByName(cut.withColumn("turns", F.col("whole") + (F.col("number") <= some).cast("int")).select(done.columns))
+        turns = F.col("turns")
+    epochs = F.explode(F.sequence(F.lit(0), turns - 1)).alias("epoch")
+    return done.where(turns > 0).select(*[F.col("own")[c].alias(c) for c in own], *path, "n_tokens", epochs)
+
+
+def _numbered(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Rows numbered from 1 within their groups of twins. They are written first, so that numbers stay; each written part
+    numbers its own rows of a group, after those of the parts before it."""
+    keys = [f"found.{c}" for c in group]
+    kept = materialise(rows.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("id", 33)))
+    inside = Window.partitionBy(*keys, "part").orderBy("id")
+    counts = kept.groupBy(*[F.col(k).alias(f"g{i}") for i, k in enumerate(keys)], "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*[f"g{i}" for i in range(len(keys))]).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumnRenamed("part", "of")
+    same = F.col("part") == F.col("of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"g{i}"))
+    local = kept.withColumn("local", F.row_number().over(inside))
+    return local.join(starts, same).withColumn("number", F.col("start") + F.col("local"))
 
 
 def source_domain(source: str = "source") -> Column:

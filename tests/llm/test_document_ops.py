@@ -7,6 +7,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from salesmart.llm import decontamination, line_dedup, minhash_dedup, mixing, suffix_dedup
 from salesmart.llm._components import components
 
@@ -233,6 +235,61 @@ def test_mixing(spark):
     assert all(leaves[x] <= 3 * size[x] for x in leaves)
 
 
+def leaf_prefix(rows, budget, seed_of):
+    """Turns of each row: whole epochs, then the longest prefix in the seeded order; equal rows are interchangeable."""
+    total = sum(len((r[1] or "").split()) for r in rows)
+    whole, rest = (budget // total, budget % total) if total else (0, 0)
+    turns, left, open_ = {}, rest, True
+    for r in sorted(rows, key=lambda r: seed_of[r, whole]):
+        n = len((r[1] or "").split())
+        open_ = open_ and n <= left
+        if open_:
+            left -= n
+        turns[r] = turns.get(r, 0) + whole + int(open_)
+    return {r: t for r, t in turns.items() if t}
+
+
+def test_chosen_rows_are_the_longest_prefix(spark):
+    """Twins and rows without id, against brute force over the same seeded order."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 1, 2, 3, 4]), "w " * rng.choice([0, 3, 10, 10]), rng.choice("ab"), "clash", 1) for _ in range(120)]
+    rows += [(None, "one two three", "a", "clash", 1)] * 30 + [(7, "w " * 25_000, "c", "clash", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `__key` string, n_last int").repartition(4)
+    order = {}
+    for whole in range(4):
+        keyed = docs.distinct().withColumn("at", F.xxhash64(F.lit(17), F.lit(whole), "doc_id", F.xxhash64("text"))).collect()
+        for r in keyed:
+            order[tuple(r)[:5], whole] = (r["at"], r["doc_id"] is not None, r["doc_id"] or 0)
+    old = mixing.ROWS_PER_BUCKET
+    for share, size in ((0.05, 7), (0.7, 7), (1.9, 10_000)):
+        mixing.ROWS_PER_BUCKET = size
+        try:
+            got = mixing.mix(docs, [F.col("source")], [{"a": 3.0}], share=share)
+            assert got.columns == [*docs.columns, "l0", "n_tokens", "epoch"]
+            found = got.collect()
+        finally:
+            mixing.ROWS_PER_BUCKET = old
+        leaves = {}
+        for r in rows:
+            leaves.setdefault(r[2], []).append(r)
+        table = spark.createDataFrame([(k, sum(len(r[1].split()) for r in v)) for k, v in leaves.items()], "l0 string, tokens long")
+        budgets = {r["l0"]: r["budget"] for r in mixing.leaf_budgets(table, 1, [{"a": 3.0}], share, 3).collect()}
+        for leaf, members in leaves.items():
+            mine = [r for r in found if r["l0"] == leaf]
+            assert sum(r["n_tokens"] for r in mine) <= budgets[leaf]
+            turns = {}
+            for r in mine:
+                turns[tuple(r)[:5]] = turns.get(tuple(r)[:5], 0) + 1
+            assert turns == leaf_prefix(members, budgets[leaf], order), (share, leaf)
+
+
+def test_twins_never_exceed_the_budget(spark):
+    for rows, share, given in (([(1, "a b c d e f g h i j")] * 2, 0.5, 10), ([(None, "a b c d e f g h i j")] * 10, 0.5, 50), ([(None, "")] * 3, 0.5, 0)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = mixing.mix(docs, [F.lit("x")], [{}], share=share).collect()
+        assert sum(r["n_tokens"] for r in got) == given
+
+
 def test_budgets_go_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "x", 10), ("a", "y", 1000), ("b", "z", 1000)], "l0 string, l1 string, tokens long")
     got = {(r["l0"], r["l1"]): r["budget"] for r in mixing.leaf_budgets(leaves, 2, [{}, {}], 0.5, 1).collect()}
