@@ -117,26 +117,33 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vec: str = "vec_id"
     """query_id, rank, vec_id, score: the ``k`` largest inner products of floor(1024 * x) for each query row.
 
     Queries are the rows whose id is divisible by ``every``; candidates all rows with another id. Rows are sharded by a hash
-    of the id; each shard of about 8,192 rows grows a KD-tree and is searched best-first, by the largest product that a box
+    of id and vector; each shard of about 8,192 rows grows a KD-tree and is searched best-first, by the largest product that a box
     allows. Blocks of queries first search one shard; the kth score found there is carried to all shards, so most boxes are
     never opened. A task holds one tree and at most 64 blocks of 256 queries.
 
     Vectors that are null, empty or hold a null or non-finite component, and rows without id, take no part. Vectors are compared
-    with those of their own length. Of rows that repeat an id the smallest vector counts. An empty table gives no rows.
+    with those of their own length. Every row counts, as query and as candidate, also where rows repeat an id (the results of
+    its rows are ranked together) or are equal: of equal rows ``k`` copies are kept, of which more could never be seen. A
+    vector whose floor(1024 * x) have a sum of squares of 2**62 or more takes no part, since its scores may fit no long. An
+    empty table gives no rows.
     """
     clean = vectors.select(F.col(vec).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x * 1024) < float("inf")) & ~F.isnan(x))
     )
-    rows = materialise(clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("dim", F.size("embedding")).where("dim > 0"))
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + F.pow(F.floor(x * 1024).cast("double"), F.lit(2.0)))
+    clean = clean.where((F.size("embedding") > 0) & F.forall("embedding", lambda x: F.abs(x) < 2.0**31)).where(squares < 2.0**62)
+    copies = clean.groupBy("vec_id", "embedding").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n"))
+    every_copy = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")
+    rows = materialise(copies.select("vec_id", "embedding", F.size("embedding").alias("dim"), every_copy).drop("copy"))
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     asked = rows.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     waves = -(-blocks // WAVE_BLOCKS)
-    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int"))
     trees = materialise(sharded.groupBy("shard", "dim").applyInArrow(_plant, "shard int, dim int, tree binary"))
 
     def searched(known: DataFrame, targets) -> DataFrame:
-        dealt = known.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+        dealt = known.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding", F.lit(1)), F.lit(blocks)).cast("int"))
         packed = dealt.groupBy("block", "dim").applyInArrow(_block, "block int, dim int, queries binary")
         packed = packed.withColumn("wave", (F.col("block") / WAVE_BLOCKS).cast("int")).withColumn("shard", targets)
         grown = trees.withColumn("wave", F.explode(F.sequence(F.lit(0), F.lit(waves - 1))))
@@ -148,7 +155,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vec: str = "vec_id"
 
     start = searched(asked.withColumn("known", F.lit(float("-inf"))), F.pmod(F.col("block"), F.lit(shards)).cast("int"))
     kth = start.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k)
-    known = asked.join(kth.select(F.col("query_id").alias("vec_id"), F.col("least").cast("double").alias("known")), "vec_id", "left")
+    below = F.col("least").cast("double") - F.abs(F.col("least").cast("double")) * 1e-15  # never above a score that doubles round
+    known = asked.join(kth.select(F.col("query_id").alias("vec_id"), below.alias("known")), "vec_id", "left")
     known = materialise(known.fillna(float("-inf"), ["known"]))
     found = searched(known, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     return ranked(found).select("query_id", "rank", "vec_id", "score")

@@ -3,9 +3,11 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
+from salesmart.llm import queries as llm
 from salesmart.llm import context_tree, cotraining, kd_search, token_edits, toxicity
 from salesmart.llm._shared import SPACED, shingle_hashes, word_hashes
 
@@ -15,7 +17,7 @@ def test_search(spark, spread):
     rng = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rng.normal(size=6) * spread]) for i in range(0, 600, 3)]
     vectors += [(i, [0.5, 0.25, -0.5, 1.0, 0.0, 0.125]) for i in range(1000, 1400)]
-    vectors += [(2000, None), (2100, []), (2200, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2300, [float("nan")] * 6), (2400, [float("inf")] * 6), (None, [1.0] * 6), (2500, [1.0, 2.0]), (2501, [2.0, 2.0]), (300, [float(x) for x in vectors[100][1]])]
+    vectors += [(2000, None), (2100, []), (2200, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2300, [float("nan")] * 6), (2400, [float("inf")] * 6), (None, [1.0] * 6), (2500, [1.0, 2.0]), (2501, [2.0, 2.0]), ]
     whole = {i: [math.floor(1024 * x) for x in v] for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
     expected = set()
     for q, a in whole.items():
@@ -32,6 +34,22 @@ def test_search(spark, spread):
     assert kd_search.top_k(table.limit(0)).count() == 0
 
 
+def test_repeated_ids_equal_rows_and_huge_components(spark):
+    """Against the registered oracle, which counts every row; vectors whose scores fit no long are left out."""
+    rng = np.random.default_rng(5)
+    rows = [(100, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [5.0, 0.0]), (100, [3.0, 1.0]), (200, [1.0, 1.0]), (100, [1.0, 0.0])]
+    rows += [(7, [4.0, 0.0])] * 40 + [(int(rng.integers(0, 60)), [float(x) for x in rng.normal(size=2)]) for _ in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    connection = duckdb.connect()
+    connection.register("embeddings", table.toArrow())
+    result = connection.execute(llm.ORACLE["op1_kd_search"])
+    names = [d[0] for d in result.description]
+    got = kd_search.top_k(table).select(*names).collect()
+    assert sorted(tuple(r) for r in got) == sorted(result.fetchall())
+    huge = table.union(spark.createDataFrame([(300, [1e200, 1.0]), (301, [1e308, 1.0]), (302, [2.0**40, 0.0])], table.schema))
+    assert sorted(tuple(r) for r in kd_search.top_k(huge).select(*names).collect()) == sorted(tuple(r) for r in got)
+
+
 def test_tree_opens_few_leaves():
     rng = np.random.default_rng(0)
     points = np.floor(rng.normal(size=(4000, 3)) * 1024)
