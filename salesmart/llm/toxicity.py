@@ -15,7 +15,6 @@ from salesmart.llm._shared import FOLD5, fold, keyed, text_views
 #: Most labelled rows that the classifier is fitted on, taken in the order of a hash of their id.
 TRAIN_ROWS = 12_000
 #: Most features that the classifier keeps.
-FEATURES = 4_000
 _MEMO = 300_000
 
 #: What a sign may stand for, besides itself.
@@ -215,11 +214,11 @@ def _fit(rows: list, n_features: int) -> tuple[np.ndarray, float]:
     return w, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_features: int = FEATURES) -> tuple:
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple:
     """Character model over all texts and a classifier from at most ``train_rows`` labelled rows outside the held-out fold.
 
     The features (restored words and their first 4 to 6 letters) are those that mark toxic texts best; at most
-    ``n_features`` names and ``train_rows`` short rows reach the driver. Without labels of both kinds no feature is kept
+    The marks of those texts that 3 toxic ones hold with a lift of 2, and ``train_rows`` short rows, reach the driver. Without labels of both kinds no feature is kept
     and every text gets the share of toxic labels (0 without labels)."""
     spark = docs.sparkSession
     model = character_model(docs)
@@ -247,9 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_fe
         .withColumn("lift", lift)
         .where("lift >= 2")
         .orderBy((F.col("bad") * F.col("lift")).desc(), "mark")
-        .limit(n_features)
     )
-    index = {r["mark"]: i for i, r in enumerate(best.collect())}
+    index = {r["mark"]: i for i, r in enumerate(best.collect())}  # bounded by the marks of train_rows texts
     known = spark.sparkContext.broadcast((model, index, None, 0.0))
     weights, bias = _fit(sample.mapInArrow(_rows(known, False), "toxic int, marks array<int>").collect(), len(index))
     return model, index, weights, bias
