@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Bytes that one scan looks at, pre-tokens that are merged at once, entries of the memo, and bytes of a remembered piece.
-SCAN, SLICE, MEMO, REMEMBERED = 1 << 20, 1 << 16, 400_000, 64
+#: Bytes of the rows that are encoded together, bytes that one scan looks at, and pre-tokens that are merged at once.
+PORTION, SCAN, SLICE = 2 << 20, 1 << 19, 1 << 16
+#: Entries of the memo, and bytes of a remembered piece.
+MEMO, REMEMBERED = 250_000, 64
 
 # --- classes of code points --------------------------------------------------------------------------------------------
 
@@ -295,11 +297,22 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, ends - ends[0]
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into rows of some 2 MB of text, so that what is held besides the texts stays small; at least one row each."""
+    for batch in batches:
+        ends = _bytes(batch.column("text"))[1]
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + PORTION, side="right")) - 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _encode(vocabulary, classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = _merger(vocabulary)
         table = np.frombuffer(classes.value, np.uint8)
-        for batch in batches:
+        for batch in _portions(batches):
             body, ends = _bytes(batch.column("text"))
             firsts = ends[:-1][ends[1:] > ends[:-1]]
             ids = merger.ids(memoryview(body), pretoken_starts(body, firsts, table))
