@@ -63,7 +63,7 @@ def resolve_headers(df: DataFrame, contract: Contract, headers: str = "headers",
     )
     resolved = df.withColumns(chosen).withColumn("missing_headers", missing)
     if strict:
-        problem = F.concat(F.lit("Missing expected columns: "), F.array_join("missing_headers", ", "))
+        problem = F.concat(F.lit("no column for: "), F.array_join("missing_headers", ", "))
         resolved = resolved.withColumn(
             "mapping", F.when(F.size("missing_headers") > 0, F.raise_error(problem).cast("map<string,string>")).otherwise(mapping)
         )
@@ -112,14 +112,14 @@ def extract_raw_rows(rows: DataFrame, positions: str = "positions", cells: str =
     return drop_blank_rows(rows, row_payload(F.col(positions), F.col(cells))).drop(positions, cells)
 
 
-def mapped_values(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add one column per canonical field, blank as NULL, from a trimmed payload.
+def mapped_values(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add one column per canonical field name, blank as NULL, from a trimmed payload.
 
     Two steps, so that each map is searched once per field.
     """
     found = {
         name: F.try_element_at("raw_payload", F.try_element_at("mapping", F.lit(name)))
-        for name in contract.field_names
+        for name in names
     }
     return df.withColumns(found).withColumns({n: F.nullif(F.col(n), F.lit("")) for n in found})
 
@@ -138,7 +138,7 @@ def preview(df: DataFrame, contract: Contract, by: list[str], n: int = 5) -> Dat
     ``n`` rows per sheet before the shuffle.
     """
     window = W.partitionBy(*by).orderBy("row_number")
-    first = mapped_values(df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n), contract)
+    first = mapped_values(df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n), contract.field_names)
     values = []
     for name in contract.field_names:
         value = F.col(name)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DATASET_VERSION, DATASETS, Contract
 from ..functions import strip
+from ..session import materialise
 
 # Sheet groups and the name of the reserved image sheet.
 RAW_SOURCE = "raw-source"
@@ -30,9 +31,23 @@ def classify_sheet(name: Column) -> Column:
     )
 
 
-def sheet_row_counts(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Rows per sheet, header and blank rows included."""
-    return rows.groupBy(*by, "sheet_index", "sheet_name").agg(F.count(F.lit(1)).alias("detected_row_count"))
+def listed_sheets(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The sheets that have rows: a registry for inputs that come without one, in which empty sheets are not seen."""
+    return rows.select(*by, "sheet_index", "sheet_name").distinct()
+
+
+def sheet_row_counts(rows: DataFrame, by: list[str], sheets: DataFrame | None = None) -> DataFrame:
+    """Rows per sheet of the registry ``sheets`` (by, sheet_index, sheet_name), header and blank rows included.
+
+    The registry drives the result: a sheet without rows counts 0, and so does one
+    whose only landed row has no number.
+    """
+    key = [*by, "sheet_index", "sheet_name"]
+    counts = rows.groupBy(*key).agg(F.count("row_number").alias("detected_row_count"))
+    if sheets is None:
+        return counts
+    counted = sheets.select(*key).join(counts, key, "left")
+    return counted.withColumn("detected_row_count", F.coalesce("detected_row_count", F.lit(0)))
 
 
 def sheet_candidates(inventory: DataFrame, token: str, by: list[str]) -> DataFrame:
@@ -47,10 +62,10 @@ def detect_sheet(inventory: DataFrame, token: str, by: list[str]) -> DataFrame:
     """The one sheet per workbook whose name contains the token; none or several fail the job."""
     found = sheet_candidates(inventory, token, by)
     problem = (
-        F.when(F.size("matches") == 0, F.lit(f"No sheet name contains {token}."))
+        F.when(F.size("matches") == 0, F.lit(f"no sheet is named for {token}"))
         .when(
             F.size("matches") > 1,
-            F.concat(F.lit(f"Multiple sheets match {token}: "), F.array_join("matches", ", ")),
+            F.concat(F.lit(f"more than one sheet is named for {token}: "), F.array_join("matches", ", ")),
         )
     )
     checked = F.when(problem.isNotNull(), F.raise_error(problem).cast("string")).otherwise(F.col("matches")[0])
@@ -62,7 +77,7 @@ def choose_sheet(inventory: DataFrame, token: str, by: list[str], override: str
     if override is None:
         return detect_sheet(inventory, token, by)
     found = inventory.groupBy(*by).agg(F.count_if(F.col("sheet_name") == override).alias("matches"))
-    missing = F.raise_error(F.lit(f"Sheet not found: {override}")).cast("string")
+    missing = F.raise_error(F.lit(f"the workbook has no sheet {override}")).cast("string")
     return found.select(*by, F.when(F.col("matches") == 0, missing).otherwise(F.lit(override)).alias("sheet_name"))
 
 
@@ -82,30 +97,56 @@ def family_inventory(counts: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
-def sheet_shape_violations(rows: DataFrame, contracts: list[Contract]) -> DataFrame:
-    """Workbook and dataset pairs that break the layout rules, with the reason; one pass for all datasets."""
-    per_sheet = rows.groupBy("workbook_identifier", "sheet_index", "sheet_name").agg(
-        F.min("row_number").alias("first_row"), F.count("row_number").alias("n")
-    )
+def sheet_shape_violations(
+    rows: DataFrame, contracts: list[Contract], sheets: DataFrame | None = None, files: DataFrame | None = None
+) -> DataFrame:
+    """What breaks the layout rules, with the reason: workbook_identifier, dataset_code (NULL for whole workbooks), reason.
+
+    ``files`` (registered workbooks) and ``sheets`` (their sheets) drive the check, so that a workbook without rows and a
+    sheet without rows are seen; by default both come from the rows. Rows and sheets of workbooks that are not registered,
+    and rows of sheets that are not listed, are violations, too. The rows are read once, for all datasets.
+    """
+    book, key = "workbook_identifier", ["workbook_identifier", "sheet_index", "sheet_name"]
+    landed = rows.groupBy(*key).agg(F.min("row_number").alias("first_row"), F.count("row_number").alias("n"))
+    if sheets is None or files is None:
+        landed = materialise(landed)
+    listed = (landed if sheets is None else sheets).select(*key, F.lit(True).alias("listed"))
+    per_sheet = listed.join(landed, key, "full")
+    known = (listed if files is None else files).select(book, F.lit(True).alias("registered")).distinct()
     rules = F.array(*[F.struct(F.lit(c.code).alias("dataset_code"), F.lit(c.sheet_token).alias("token")) for c in contracts])
-    hit = F.contains(F.col("sheet_name"), F.col("token"))
-    per_book = (
-        per_sheet.select("*", F.inline(rules))
-        .groupBy("workbook_identifier", "dataset_code")
-        .agg(
-            F.count_if(hit).alias("matches"),
-            F.min(F.when(hit, F.col("n"))).alias("rows"),
-            F.min(F.when(hit, F.col("first_row"))).alias("first_row"),
-        )
+    tagged = per_sheet.withColumn("_hits", F.filter(rules, lambda r: F.contains(F.col("sheet_name"), r["token"])))
+    whole = F.struct(F.lit(None).cast("string").alias("dataset_code"), F.lit(None).cast("string").alias("token"))
+    # One row per sheet and dataset it is named for, and one for the workbook itself.
+    spread = tagged.select("*", F.inline(F.concat("_hits", F.array(whole))))
+    per_book = spread.groupBy(book, "dataset_code").agg(
+        F.count_if("listed").alias("matches"),
+        F.min(F.when(F.col("listed"), F.coalesce("n", F.lit(0)))).alias("rows"),
+        F.min("first_row").alias("first_row"),
+        F.count_if(F.col("listed").isNull()).alias("unlisted"),
     )
-    reason = (
-        F.when(
-            F.col("matches") != 1, F.concat(F.lit("expected exactly one sheet, found "), F.col("matches").cast("string"))
-        )
-        .when(F.col("rows") == 0, F.lit("sheet is empty"))
-        .when(F.col("first_row") != 1, F.lit("does not start headers on row 1"))
+    expected = known.select(book, "registered", F.explode(F.array(*[F.lit(c.code) for c in contracts], F.lit(None))).alias("dataset_code"))
+    same = (expected[book] == per_book[book]) & expected["dataset_code"].eqNullSafe(per_book["dataset_code"])
+    both = expected.join(per_book, same, "full").select(
+        F.coalesce(expected[book], per_book[book]).alias(book),
+        F.coalesce(expected["dataset_code"], per_book["dataset_code"]).alias("dataset_code"),
+        "registered",
+        F.coalesce("matches", F.lit(0)).alias("matches"),
+        "rows",
+        "first_row",
+        F.coalesce("unlisted", F.lit(0)).alias("unlisted"),
+    )
+    of_book = (
+        F.when(F.col("registered").isNull(), F.lit("workbook is not registered"))
+        .when(F.col("matches") == 0, F.lit("workbook has no sheet"))
+        .when(F.col("unlisted") > 0, F.concat(F.col("unlisted"), F.lit(" sheets with rows are not listed")))
     )
-    return per_book.select("workbook_identifier", "dataset_code", reason.alias("reason")).filter("reason is not null")
+    of_dataset = (
+        F.when(F.col("matches") != 1, F.concat(F.lit("one sheet must be named for it, not "), F.col("matches")))
+        .when(F.col("rows") == 0, F.lit("its sheet has no rows"))
+        .when(F.col("first_row") != 1, F.lit("its first row is not the header row"))
+    )
+    reason = F.when(F.col("dataset_code").isNull(), of_book).when(F.col("registered"), of_dataset)
+    return both.select(book, "dataset_code", reason.alias("reason")).filter("reason is not null")
 
 
 def require_none(violations: DataFrame, what: str) -> None:
@@ -121,10 +162,12 @@ def classification_doc(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("workbook_identifier").agg(sheets.alias("sheets"))
 
 
-def schema_manifest(resolved: DataFrame, dataset_code: str, batch_id: str, row_counts: DataFrame) -> DataFrame:
-    """Per workbook: headers, mapping, missing and unexpected headers and row count of one dataset."""
+def schema_manifest(resolved: DataFrame, batch_id: str, row_counts: DataFrame) -> DataFrame:
+    """Per dataset and workbook: headers, mapping, missing and unexpected headers and row count (0 without data rows)."""
+    grains = F.create_map(*[x for code, c in DATASETS.items() for x in (F.lit(code), F.lit(c.grain))])
     return (
         resolved.select(
+            "dataset_code",
             "workbook_identifier",
             "sheet_name",
             "headers",
@@ -132,12 +175,12 @@ def schema_manifest(resolved: DataFrame, dataset_code: str, batch_id: str, row_c
             "missing_headers",
             "unexpected_headers",
         )
-        .join(row_counts.filter(F.col("dataset_code") == dataset_code), "workbook_identifier", "left")
+        .join(row_counts, ["dataset_code", "workbook_identifier"], "left")
         .select(
-            F.lit(dataset_code).alias("dataset_code"),
+            "dataset_code",
             F.lit(batch_id).alias("batch_id"),
             F.lit(DATASET_VERSION).alias("dataset_version"),
-            F.lit(DATASETS[dataset_code].grain).alias("grain_code"),
+            F.try_element_at(grains, F.col("dataset_code")).alias("grain_code"),
             F.coalesce("row_count", F.lit(0)).alias("row_count"),
             "workbook_identifier",
             "sheet_name",
@@ -153,24 +196,23 @@ def dataset_row_counts(normalised: DataFrame, by: list[str] | None = None) -> Da
     return normalised.groupBy(*(by or ["dataset_code"])).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def run_manifest(files: DataFrame, normalised: DataFrame, batch_id: str) -> DataFrame:
-    """Rows of a run manifest: one per dataset with its row count, one per workbook with its hash."""
+def run_manifest(files: DataFrame, counts: DataFrame, batch_id: str) -> DataFrame:
+    """Rows of a run manifest: one for the run with its number of workbooks, one per dataset with its row count, also if it
+    has none, one per workbook with its file name and hash. ``counts`` has dataset_code and row_count."""
     stamp = [F.lit(batch_id).alias("batch_id"), F.lit(DATASET_VERSION).alias("dataset_version")]
-    datasets = dataset_row_counts(normalised).select(
-        *stamp,
-        F.lit("dataset").alias("entry"),
-        F.col("dataset_code").alias("name"),
-        F.lit(None).cast("string").alias("file_hash"),
-        "row_count",
-    )
-    workbooks = files.select(
-        *stamp,
-        F.lit("workbook").alias("entry"),
-        F.col("workbook_identifier").alias("name"),
-        F.col("workbook_file_hash").alias("file_hash"),
-        F.lit(None).cast("bigint").alias("row_count"),
-    )
-    return datasets.unionByName(workbooks)
+    none, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+
+    def entry(kind, name=text, file_name=text, file_hash=text, row_count=none, workbook_count=none):
+        shown = {"name": name, "workbook_file_name": file_name, "file_hash": file_hash, "row_count": row_count, "workbook_count": workbook_count}
+        return [*stamp, F.lit(kind).alias("entry"), *[c.alias(n) for n, c in shown.items()]]
+
+    run = files.agg(F.count(F.lit(1)).alias("n")).select(*entry("run", workbook_count=F.col("n")))
+    codes = files.sparkSession.createDataFrame([(c,) for c in DATASETS], "dataset_code string")
+    summed = counts.groupBy("dataset_code").agg(F.sum("row_count").alias("row_count"))
+    every = codes.join(F.broadcast(summed), "dataset_code", "left")  # seven rows at most
+    datasets = every.select(*entry("dataset", F.col("dataset_code"), row_count=F.coalesce("row_count", F.lit(0))))
+    workbooks = files.select(*entry("workbook", F.col("workbook_identifier"), F.col("workbook_file_name"), F.col("workbook_file_hash")))
+    return run.unionByName(datasets).unionByName(workbooks)
 
 
 def batch_ids(files: DataFrame, by: list[str]) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import month_label
 from ..session import materialise
+from ..sources import commits
 from .joins import lookup_join, measured_small
 from .ranking import row_index
 
@@ -88,13 +88,11 @@ def upsert_small_batch(
 ) -> DataFrame:
     """``upsert`` for a stored target and a batch that was measured to be small.
 
-    The batch is broadcast, so of the target only the keys are shuffled, to hold
-    stored rows to the same rule as ``upsert``. Its key columns are read again to
-    find the batch keys that are new.
+    The batch is broadcast, so of the target only the keys are shuffled, once: to
+    hold stored rows to the same rule as ``upsert`` and to find the batch keys
+    that are stored already.
     """
     keep_cols = keep_cols or []
-    stored = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("_stored"), F.lit(0).alias("_from_batch"))
-    stored.filter(_valid_key(keys)).filter(_single_stored(keys)).agg(F.count(F.lit(1))).collect()
     wanted = [*keys, *update_cols, *keep_cols]
     checked = batch.groupBy(*keys).agg(
         *[F.any_value(c).alias(c) for c in [*update_cols, *keep_cols]], F.count(F.lit(1)).alias("_from_batch")
@@ -103,50 +101,81 @@ def upsert_small_batch(
     incoming = rows.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in update_cols])
     replaced = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in update_cols]
     kept = target.join(F.broadcast(incoming), keys, "left").select(*keys, *replaced, *keep_cols)
-    # At most one key per batch row.
-    known = target.select(*keys).join(F.broadcast(rows.select(*keys)), keys, "left_semi")
+    counted = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("_stored"), F.lit(0).alias("_from_batch"))
+    valid = counted.filter(_valid_key(keys)).filter(_single_stored(keys))
+    marked = valid.join(F.broadcast(rows.select(*keys, F.lit(True).alias("_hit"))), keys, "left")
+    # All keys are checked; at most one for each batch row is written.
+    known = materialise(marked.filter(F.col("_hit")).select(*keys))
     return kept.unionByName(rows.join(F.broadcast(known), keys, "left_anti").select(*wanted))
 
 
-def upsert_table(
+def with_month(batch: DataFrame, date_col: str = "sales_date") -> DataFrame:
+    """A batch with its sales month, written so that repeated tries read it again and do not derive it again."""
+    return materialise(batch.withColumn(commits.MONTH, month_label(F.col(date_col))))
+
+
+def upsert_months(
     spark: SparkSession,
-    path: str,
-    batch: DataFrame,
+    root: str,
+    at: commits.Snapshot,
+    table: str,
+    tagged: DataFrame,
     keys: list[str],
     update_cols: list[str],
     date_col: str = "sales_date",
     keep_cols: list[str] | None = None,
-) -> None:
-    """Apply a batch to a stored fact laid out by month, rewriting only the months it touches.
+) -> commits.Change:
+    """The change that applies a batch to a fact kept by month: new folders for the months it touches.
 
-    Dynamic partition overwrite stages the new files and swaps them in at job
-    commit. The upsert is idempotent, so a run that fails half-way is repeated.
+    Months are copied, never written in place; the stored side is read by a filter on sales_month, so others are not opened.
     """
-    tagged = materialise(batch.withColumn("sales_month", month_label(F.col(date_col))))
     # At most one value per calendar month.
-    touched = [r["sales_month"] for r in tagged.select("sales_month").distinct().collect()]
-    try:
-        stored = spark.read.parquet(path).filter(F.col("sales_month").isin(touched))
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    touched = sorted(r[commits.MONTH] for r in tagged.select(commits.MONTH).distinct().filter(F.col(commits.MONTH).isNotNull()).collect())
+    if set(touched) & set(at.months(table)):
+        stored = commits.read(spark, root, at, table).filter(F.col(commits.MONTH).isin(touched))
+    else:
         stored = tagged.limit(0)
     if measured_small(tagged):
         # Stored rows stay in the tasks that read them, so each month keeps about its files.
         merged = upsert_small_batch(stored, tagged, keys, update_cols, keep_cols)
-        out = merged.withColumn("sales_month", month_label(F.col(date_col)))
+        out = merged.withColumn(commits.MONTH, month_label(F.col(date_col)))
     else:
         merged = upsert(stored, tagged, keys, update_cols, keep_cols)
         # Rebalancing splits a dominant month over several files.
-        out = merged.withColumn("sales_month", month_label(F.col(date_col))).hint("rebalance", "sales_month")
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("sales_month")
-        .parquet(path)
-    )
-    spark.catalog.refreshByPath(path)
+        out = merged.withColumn(commits.MONTH, month_label(F.col(date_col))).hint("rebalance", commits.MONTH)
+    return commits.write_months(root, table, out, touched)
+
+
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    update_cols: list[str],
+    date_col: str = "sales_date",
+    keep_cols: list[str] | None = None,
+    table: str = "fact",
+) -> commits.Snapshot:
+    """Apply a batch to a stored fact as one commit, on the newest state if another writer was faster.
+
+    Readers see all its months or none; a run that fails leaves no trace and is repeated.
+    """
+    tagged = with_month(batch, date_col)
+    months = [r[commits.MONTH] for r in tagged.select(commits.MONTH).distinct().collect()]
+    done: dict[tuple, commits.Change] = {}
+
+    def change(at: commits.Snapshot) -> commits.Change:
+        state = month_state(at, table, months)
+        if state not in done:  # months that another commit left alone are not merged again
+            done[state] = upsert_months(spark, path, at, table, tagged, keys, update_cols, date_col, keep_cols)
+        return done[state]
+
+    return commits.commit(spark, path, change)
+
+
+def month_state(at: commits.Snapshot, table: str, months: list[str]) -> tuple:
+    """The folders that some months have in a snapshot."""
+    return tuple(at.folders.get(f"{table}/{m}") for m in months)
 
 
 def only_missing(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

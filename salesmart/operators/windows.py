@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from ..sources import commits
 from .joins import lookup_join
 
 
@@ -24,11 +25,13 @@ def trailing_days(df: DataFrame, date_col: str, latest: dt.date | None, days: in
     """Rows of the ``days`` calendar days that end with ``latest``, inclusive.
 
     The bound is a literal, so it is pushed through joins and aggregates to the
-    scan and prunes month partitions.
+    scan. A stored fact also has the month of the date: the months that the bound
+    leaves follow from it and choose folders before any file is opened.
     """
     if latest is None:
         return df.limit(0)
-    return df.filter(F.col(date_col) > F.lit(window_start(latest, days)))
+    start = window_start(latest, days)
+    return commits.from_month(df.filter(F.col(date_col) > F.lit(start)), f"{start + dt.timedelta(days=1):%Y-%m}")
 
 
 def latest_date_by(df: DataFrame, group: str, date_col: str) -> DataFrame:

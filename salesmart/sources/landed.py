@@ -55,6 +55,16 @@ def read_dataset(spark: SparkSession, root: str, code: str) -> DataFrame:
     return spark.read.parquet(f"{root}/datasets/{code}")
 
 
+def read_family(spark: SparkSession, root: str, code: str | None = None) -> DataFrame:
+    """The datasets of a family that were written side by side: all of them, or the folder of one."""
+    every = spark.read.parquet(f"{root}/datasets")
+    if code is None:
+        return every
+    if code not in DATASETS:
+        raise KeyError(f"unknown dataset {code}")
+    return every.filter(F.col("dataset_code") == code)
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -64,7 +74,7 @@ def workbook_identity(df: DataFrame, path_col: str) -> DataFrame:
     name = file_name(F.col(path_col))
     shop = F.regexp_extract(name, WORKBOOK_NAME, 1)
     year = F.regexp_extract(name, WORKBOOK_NAME, 2)
-    problem = F.raise_error(F.concat(F.lit("Unexpected workbook name: "), name)).cast("string")
+    problem = F.raise_error(F.concat(F.lit("not a workbook of the family: "), name)).cast("string")
     return df.withColumns(
         {
             "workbook_file_name": name,
@@ -84,7 +94,7 @@ def workbook_files(spark: SparkSession, glob: str) -> DataFrame:
     """Registry of a workbook family: path, file name, shop, workbook id, hash. No match is an error."""
     found = workbook_identity(file_fingerprints(spark, glob), "workbook_path")
     if found.isEmpty():
-        raise FileNotFoundError(f"No workbooks matched {glob}")
+        raise FileNotFoundError(f"no workbook at {glob}")
     return found
 
 

@@ -344,8 +344,11 @@ def order_sheets(t: Tables) -> DataFrame:
     sheets = order_book(t).withColumn(
         "sheet_index", F.explode(F.sequence(F.lit(1), (3 + F.col("o_orderkey") % 5).cast("int")))
     )
-    index = F.col("sheet_index")
-    name = (
+    return sheets.select("workbook_identifier", "sheet_index", _sheet_name(F.col("sheet_index")).alias("sheet_name"))
+
+
+def _sheet_name(index: Column) -> Column:
+    return (
         F.when(index == 2, F.concat(F.lit("①日报数据源"), F.col("o_orderkey") % 7))
         .when(index == 3, F.lit(" SKU源数据 "))
         .when(index == 4, F.lit("WpsReserved_CellImgList"))
@@ -353,7 +356,33 @@ def order_sheets(t: Tables) -> DataFrame:
         .when(index == 6, F.concat(F.lit("Sheet"), "o_orderkey", F.lit("x")))
         .otherwise(F.concat("o_orderpriority", F.lit("月报"), index))
     )
-    return sheets.select("workbook_identifier", "sheet_index", name.alias("sheet_name"))
+
+
+def order_sheet_rows(t: Tables) -> DataFrame:
+    """Line items as rows of the sheets of their order's workbook; many listed sheets have none, some rows lie in sheets that
+    are not listed, and some were landed without a number."""
+    lines = t.spread("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey")
+    named = lines.join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    return named.select(
+        F.concat(F.lit("wb_"), "o_orderkey").alias("workbook_identifier"),
+        F.col("l_linenumber").alias("sheet_index"),
+        _sheet_name(F.col("l_linenumber")).alias("sheet_name"),
+        F.when(F.col("l_suppkey") % 9 != 0, (1 + F.col("l_partkey") % 3).cast("int")).alias("row_number"),
+    )
+
+
+def order_files(t: Tables) -> DataFrame:
+    """Registered workbooks: most orders, and customers as workbooks without any sheet."""
+    book = F.col("workbook_identifier")
+    orders = order_book(t).filter("o_orderkey % 7 <> 0").select(book)
+    files = orders.unionByName(t.customer.select(F.concat(F.lit("wb_c"), "c_custkey").alias("workbook_identifier")))
+    return files.select(
+        book,
+        F.concat(F.lit("/in/"), book).alias("workbook_path"),
+        F.concat(book, F.lit(".xlsx")).alias("workbook_file_name"),
+        F.sha2(book, 256).alias("workbook_file_hash"),
+        F.concat(F.lit("pdd_"), F.length(book)).alias("shop_code"),
+    )
 
 
 def shop_book(shop_id: Column) -> Column:
@@ -370,6 +399,7 @@ def line_sheet_rows(t: Tables) -> DataFrame:
         index.alias("sheet_index"),
         F.concat(F.lit("①"), F.element_at(tokens, index)).alias("sheet_name"),
         F.element_at(codes, index).alias("dataset_code"),
+        F.col("l_orderkey").alias("row_number"),
     )
 
 
@@ -412,6 +442,34 @@ def sku_sheet_rows(t: Tables) -> DataFrame:
     return header.unionByName(data)
 
 
+def family_rows(t: Tables) -> DataFrame:
+    """All seven sheets of every shop's workbook: a header row per sheet, orders dealt to the sheets as data rows.
+
+    Every fifth shop uses the last accepted header of each field, every third has no header for the last field.
+    """
+    shop, key = F.col("n_nationkey"), F.col("o_orderkey")
+    parts = []
+    for i, contract in enumerate(DATASETS.values()):
+        sheet = [F.lit(f"①{contract.sheet_token}").alias("sheet_name"), F.lit(i + 1).alias("sheet_index")]
+        names = [F.when(shop % 5 == 0, f.headers[-1]).otherwise(f.headers[0]) for f in contract.fields]
+        names[-1] = F.when(shop % 3 != 0, names[-1]).otherwise("")
+        header = indexed_map(F.array(*names, F.lit("备注")))
+        parts.append(t.nation.select(shop_book(shop).alias("workbook_identifier"), *sheet, F.lit(1).alias("row_number"), header.alias("cells")))
+        values = []
+        for j, name in enumerate(contract.field_names):
+            text = F.when((key + j) % 5 == 0, " ").otherwise(F.concat(F.lit(f" v{j}-"), key))
+            values.append(F.col("o_orderdate").cast("date").cast("string") if name == "sales_date" else text)
+        note = F.when(key % 4 == 0, F.col("o_orderstatus")).otherwise("")
+        cells = indexed_map(F.when(key % 11 == 0, F.array(F.lit(""), F.lit(IDEOGRAPHIC_SPACE))).otherwise(F.array(*values, note)))
+        book = shop_book(F.col("o_custkey") % 25).alias("workbook_identifier")
+        data = t.spread("orders").filter(key % len(DATASETS) == i)
+        parts.append(data.select(book, *sheet, (key + 2).cast("int").alias("row_number"), cells.alias("cells")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def shop_files(t: Tables) -> DataFrame:
     book = shop_book(F.col("n_nationkey"))
     return t.nation.select(
@@ -458,6 +516,103 @@ def customer_strings(t: Tables) -> DataFrame:
     )
 
 
+def rule_tables(t: Tables) -> dict[str, DataFrame]:
+    """The layers with broken rules of every kind, from expressions that SQL and Spark share."""
+    layers = {
+        "platforms": (t.region, RULE_COLUMNS["platforms"]),
+        "shops": (t.nation, RULE_COLUMNS["shops"]),
+        "source_file_types": (t.part, RULE_COLUMNS["source_file_types"]),
+        "import_files": (t.customer, RULE_COLUMNS["import_files"]),
+        "import_file_sheets": (t.orders, RULE_COLUMNS["import_file_sheets"]),
+        "raw_import_rows": (t.lineitem, RULE_COLUMNS["raw_import_rows"]),
+        "stg_shop_day": (t.orders, RULE_COLUMNS["stg_shop_day"]),
+        "stg_sku_day": (t.lineitem, RULE_COLUMNS["stg_sku_day"]),
+        "fact_shop_day": (t.orders, RULE_COLUMNS["fact_shop_day"]),
+        "fact_sku_day": (t.lineitem, RULE_COLUMNS["fact_sku_day"]),
+        "spu_snapshot": (t.part, RULE_COLUMNS["spu_snapshot"]),
+    }
+    return {name: df.selectExpr(*[f"{e} AS {c}" for c, e in columns.items()]) for name, (df, columns) in layers.items()}
+
+
+#: Columns of the layers as expressions on the test tables.
+RULE_COLUMNS = {
+    "platforms": {"platform_id": "r_regionkey", "platform_code": "r_name", "platform_name": "CASE WHEN r_regionkey <> 3 THEN r_name END"},
+    "shops": {
+        "shop_id": "n_nationkey",
+        "platform_id": "CASE WHEN n_nationkey % 10 = 9 THEN 99 ELSE n_regionkey END",
+        "shop_code": "n_nationkey % 4",
+        "is_active": "CASE WHEN n_nationkey % 8 <> 1 THEN true END",
+        "created_at": "n_name",
+    },
+    "source_file_types": {
+        "source_file_type_id": "p_partkey",
+        "platform_id": "p_size % 7",
+        "file_type_code": "p_brand",
+        "file_type_name": "p_name",
+        "grain_code": "p_type",
+        "version": "p_size",
+        "is_active": "p_size > 0",
+    },
+    "import_files": {
+        "import_file_id": "c_custkey",
+        "source_file_type_id": "c_custkey * 3",
+        "platform_id": "c_nationkey % 6",
+        "shop_id": "CASE WHEN c_custkey % 4 <> 0 THEN c_nationkey + CASE WHEN c_custkey % 9 = 0 THEN 100 ELSE 0 END END",
+        "file_path": "c_name",
+        "file_name": "c_mktsegment",
+        "imported_at": "c_acctbal",
+    },
+    "import_file_sheets": {
+        "import_file_id": "o_custkey * 2",
+        "sheet_name": "o_orderpriority",
+        "sheet_index": "o_orderkey % 8",
+        "is_relevant": "o_orderstatus = 'F'",
+    },
+    "raw_import_rows": {
+        "import_file_id": "l_suppkey * 7",
+        "row_number": "l_orderkey",
+        "sheet_name": "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END",
+        "raw_payload": "CASE WHEN l_linenumber < 7 THEN l_linestatus END",
+    },
+    "stg_shop_day": {
+        "import_file_id": "o_custkey",
+        "source_row_number": "o_orderkey % 3000",
+        "shop_id": "o_custkey % 26",
+        "sales_date": "CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END",
+    },
+    "stg_sku_day": {
+        "import_file_id": "l_suppkey * 7",
+        "source_row_number": "l_orderkey + CASE WHEN l_partkey % 20 = 0 THEN 1 ELSE 0 END",
+        "shop_id": "l_suppkey % 26",
+        "sales_date": "CASE WHEN l_linenumber <> 3 THEN l_shipdate END",
+    },
+    "fact_shop_day": {
+        "shop_id": "o_custkey % 25",
+        "sales_date": "CAST(o_orderdate AS DATE)",
+        "import_file_id": "o_custkey + 3",
+        "source_row_number": "o_orderkey",
+    },
+    "fact_sku_day": {
+        "shop_id": "l_suppkey % 25",
+        "sales_date": "CAST(l_shipdate AS DATE)",
+        "product_id": "l_partkey",
+        "sku_id": "l_suppkey",
+        "merchant_sku_code": "CASE WHEN l_linenumber <> 2 THEN l_returnflag END",
+        "product_specification": "l_linestatus",
+        "import_file_id": "l_suppkey * 90",
+        "source_row_count": "l_linenumber",
+    },
+    "spu_snapshot": {
+        "shop_code": "p_size % 3",
+        "sales_date": "p_size % 2",
+        "spu_name": "p_brand",
+        "campaign_name": "p_type",
+        "listing_name": "CASE WHEN p_size <> 7 THEN p_size END",
+        "source_row_count": "p_size",
+    },
+}
+
+
 def recent(t: Tables) -> tuple[dt.date, dt.date]:
     """Latest date and the day before its 30-day window."""
     latest = latest_sale(t)

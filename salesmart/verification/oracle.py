@@ -6,9 +6,12 @@ the library: ratios are rounded with integer arithmetic.
 
 from __future__ import annotations
 
+import json
 import re
 
-from ..contracts import SOURCE_TYPE_SEEDS
+from ..contracts import CANONICAL_COLUMNS, DATASETS, SOURCE_TYPE_SEEDS, Contract
+from ..operators.rules import REFERENCES, REQUIRED, UNIQUE, Reference, Required, Unique
+from .bindings import RULE_COLUMNS
 
 # Fixed values shared with the reports.
 TRIAL_NOTE = "试运行预览：基于标准化 SPU源数据 生成，供 Metabase 预览使用，暂不视为正式事实层。"
@@ -45,6 +48,114 @@ def big(*columns: str) -> str:
     return ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in columns)
 
 
+FAMILY_VALUES = ", ".join(f"({i}, '{code}', '{c.grain}', '{c.sheet_token}')" for i, (code, c) in enumerate(DATASETS.items()))
+
+
+def _mapping(contract: Contract, last_header: bool, short: bool) -> dict[str, str]:
+    fields = contract.fields[:-1] if short else contract.fields
+    return {f.name: f.headers[-1 if last_header else 0] for f in fields}
+
+
+def _by_shop(text) -> str:
+    """A text for each kind of shop: every fifth uses last headers, every third lacks the last field."""
+    n = "shop_number"
+    cases = {(True, True): f"{n} % 15 = 0", (True, False): f"{n} % 5 = 0", (False, True): f"{n} % 3 = 0"}
+    whens = " ".join(f"WHEN {test} THEN '{text(*kind)}'" for kind, test in cases.items())
+    return f"CASE {whens} ELSE '{text(False, False)}' END"
+
+
+def _family_dataset(i: int, code: str, contract: Contract) -> str:
+    values = []
+    for name in CANONICAL_COLUMNS:
+        if name not in contract.field_names:
+            values.append("'~'")
+            continue
+        j = contract.field_names.index(name)
+        if name == "sales_date":
+            value = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
+        else:
+            value = f"CASE WHEN (o_orderkey + {j}) % 5 = 0 THEN '~' ELSE 'v{j}-' || o_orderkey END"
+        values.append(f"CASE WHEN shop_number % 3 = 0 THEN '~' ELSE {value} END" if j == len(contract.fields) - 1 else value)
+    variant = _by_shop(lambda last, short: json.dumps(_mapping(contract, last, short), ensure_ascii=False, sort_keys=True))
+    return f"""
+        SELECT '{code}' AS dataset_code, '{contract.grain}' AS grain_code, 'pdd_' || shop_number || '_workbook_2026' AS workbook_identifier,
+            'pdd_' || shop_number AS shop_code, '①{contract.sheet_token}' AS sheet_name, CAST({i + 1} AS BIGINT) AS sheet_index,
+            o_orderkey + 2 AS source_row_number, {variant} AS source_header_variant,
+            CASE WHEN o_orderkey % 4 = 0 THEN '{{"备注": "' || o_orderstatus || '"}}' END AS source_extra_payload_json,
+            md5({" || '|' || ".join(values)}) AS digest
+        FROM (SELECT *, o_custkey % 25 AS shop_number FROM orders WHERE o_orderkey % 7 = {i} AND o_orderkey % 11 <> 0)"""
+
+
+FAMILY_SQL = " UNION ALL ".join(_family_dataset(i, code, c) for i, (code, c) in enumerate(DATASETS.items()))
+
+
+def _schema_rows(i: int, code: str, contract: Contract) -> str:
+    def headers(last: bool, short: bool) -> str:
+        return ",".join([*_mapping(contract, last, short).values(), "备注"])
+
+    final = contract.fields[-1]
+    missing = final.headers[0] if len(final.headers) == 1 else ""
+    return f"""
+        SELECT '{code}' AS dataset_code, '{contract.grain}' AS grain_code, 'pdd_' || shop_number || '_workbook_2026' AS workbook_identifier,
+            '①{contract.sheet_token}' AS sheet_name,
+            (SELECT count(*) FROM orders WHERE o_orderkey % 7 = {i} AND o_orderkey % 11 <> 0 AND o_custkey % 25 = shop_number) AS row_count,
+            CAST({len(contract.fields)} - CASE WHEN shop_number % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS matched_count,
+            {_by_shop(headers)} AS headers, CASE WHEN shop_number % 3 = 0 THEN '{missing}' ELSE '' END AS missing_headers,
+            '备注' AS unexpected_headers
+        FROM (SELECT n_nationkey AS shop_number FROM nation)"""
+
+
+SCHEMA_MANIFEST_SQL = " UNION ALL ".join(_schema_rows(i, code, c) for i, (code, c) in enumerate(DATASETS.items()))
+
+RULE_SOURCES = {
+    "platforms": "region",
+    "shops": "nation",
+    "source_file_types": "part",
+    "import_files": "customer",
+    "import_file_sheets": "orders",
+    "raw_import_rows": "lineitem",
+    "stg_shop_day": "orders",
+    "stg_sku_day": "lineitem",
+    "fact_shop_day": "orders",
+    "fact_sku_day": "lineitem",
+    "spu_snapshot": "part",
+}
+
+
+def _rule_source(table: str) -> str:
+    columns = ", ".join(f"{e} AS {c}" for c, e in RULE_COLUMNS[table].items())
+    return f"(SELECT {columns} FROM {RULE_SOURCES[table]})"
+
+
+def _rule_row(kind: str, table: str, columns: str, parent: str | None, keys: str, rows: str, source: str) -> str:
+    shown = f"'{parent}'" if parent else "NULL"
+    return (
+        f"SELECT '{kind}' AS kind, '{table}' AS \"table\", '{columns}' AS columns, {shown} AS parent, "
+        f"CAST({keys} AS BIGINT) AS violating_keys, CAST(coalesce({rows}, 0) AS BIGINT) AS violating_rows FROM {source}"
+    )
+
+
+def _unique_sql(r: Unique) -> str:
+    keys = ", ".join(f"coalesce({c}, '')" if c in r.blank else c for c in r.columns)
+    present = " AND ".join(f"{c} IS NOT NULL" for c in r.columns if c not in r.blank)
+    source = f"(SELECT count(*) AS n FROM {_rule_source(r.table)} WHERE {present} GROUP BY {keys} HAVING count(*) > 1)"
+    return _rule_row("unique", r.table, ", ".join(r.columns), None, "count(*)", "sum(n)", source)
+
+
+def _reference_sql(r: Reference) -> str:
+    present = " AND ".join(f"c.{c} IS NOT NULL" for c in r.columns)
+    same = " AND ".join(f"p.{a} = c.{b}" for a, b in zip(r.parent_columns, r.columns, strict=True))
+    lost = f"(SELECT * FROM {_rule_source(r.table)} c WHERE {present} AND NOT EXISTS (SELECT 1 FROM {_rule_source(r.parent)} p WHERE {same}))"
+    keys = f"count(DISTINCT ({', '.join(r.columns)}))"
+    return _rule_row("reference", r.table, ", ".join(r.columns), r.parent, keys, "count(*)", lost)
+
+
+def _required_sql(r: Required) -> str:
+    return _rule_row("required", r.table, r.column, None, "0", f"count(*) FILTER (WHERE {r.column} IS NULL)", _rule_source(r.table))
+
+
+RULES_SQL = " UNION ALL ".join([*map(_unique_sql, UNIQUE), *map(_reference_sql, REFERENCES), *map(_required_sql, REQUIRED)])
+
 IDENTITY = "product_id, sku_id, merchant_sku_code, product_specification"
 
 CTES = {
@@ -133,6 +244,13 @@ CTES = {
             CASE i WHEN 2 THEN 'raw-source' WHEN 3 THEN 'raw-source' WHEN 4 THEN 'ignore' WHEN 5 THEN 'ignore'
                 ELSE 'mixed/presentation' END AS sheet_group
         FROM wb, generate_series(1, 7) AS g(i) WHERE i <= 3 + k % 5""",
+    "sheet_row": """
+        SELECT 'wb_' || l_orderkey AS workbook_identifier, CAST(l_linenumber AS BIGINT) AS sheet_index,
+            CASE WHEN l_suppkey % 9 <> 0 THEN 1 + l_partkey % 3 END AS n
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+    "wb_file": """
+        SELECT workbook_identifier AS w FROM wb WHERE k % 7 <> 0 UNION ALL SELECT 'wb_c' || c_custkey FROM customer""",
+    "family": "SELECT * FROM (VALUES " + FAMILY_VALUES + ") AS f(i, code, grain, token)",
     "sku_sheet": """
         SELECT *, 'pdd_' || (o_custkey % 25) || '_workbook_2026' AS book, o_orderkey + 2 AS row_no,
             CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day_text, CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS VARCHAR) AS price,
@@ -497,6 +615,51 @@ BODIES = {
             'raw-source' AS sheet_group
         FROM line JOIN (VALUES {TOKEN_ROWS}) AS k(i, token, code) ON i = l_linenumber
         GROUP BY shop_id, l_linenumber, token""",
+    "sheet_registry_inventory": """
+        SELECT workbook_identifier, sheet_index, sheet_name, count(n) AS detected_row_count,
+            CASE WHEN sheet_index = 2 THEN 'shop_daily_source' END AS sheet_role, sheet_index = 2 AS is_relevant
+        FROM sheet LEFT JOIN sheet_row USING (workbook_identifier, sheet_index) GROUP BY 1, 2, 3""",
+    "family_inventory": """
+        SELECT (SELECT substr(sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10) || 'dataset_version=1'), 1, 16)
+                FROM (SELECT sha256(string_agg(w || '|' || sha256(w), chr(10) ORDER BY w)) AS digest
+                    FROM wb_file GROUP BY substr(sha256(w), 1, 3))) AS batch_id,
+            workbook_identifier, '/in/' || w AS workbook_path, w || '.xlsx' AS workbook_file_name, 'pdd_' || length(w) AS shop_code,
+            sheet_name, sheet_index, sheet_group, count(n) AS detected_row_count
+        FROM sheet JOIN wb_file ON w = workbook_identifier LEFT JOIN sheet_row USING (workbook_identifier, sheet_index)
+        GROUP BY ALL""",
+    "sheet_shape": """
+        SELECT * FROM (WITH book_state AS (
+            SELECT coalesce(f.w, s.workbook_identifier) AS b, f.w IS NOT NULL AS registered, s.workbook_identifier IS NOT NULL AS has_sheet
+            FROM wb_file f FULL JOIN (SELECT DISTINCT workbook_identifier FROM sheet) s ON f.w = s.workbook_identifier),
+        stray AS (
+            SELECT workbook_identifier AS b, count(DISTINCT sheet_index) AS n FROM sheet_row r
+            WHERE NOT EXISTS (SELECT 1 FROM sheet s WHERE s.workbook_identifier = r.workbook_identifier AND s.sheet_index = r.sheet_index)
+            GROUP BY 1),
+        state AS (
+            SELECT wanted.workbook_identifier AS b, i, count(r.n) AS rows, min(r.n) AS first_row
+            FROM (SELECT workbook_identifier, sheet_index AS i FROM sheet WHERE sheet_index IN (2, 3)) AS wanted
+            LEFT JOIN sheet_row r ON r.workbook_identifier = wanted.workbook_identifier AND r.sheet_index = i GROUP BY ALL),
+        found AS (
+            SELECT b, NULL AS dataset_code, CASE WHEN NOT registered THEN 'workbook is not registered'
+                WHEN NOT has_sheet THEN 'workbook has no sheet' WHEN n > 0 THEN n || ' sheets with rows are not listed' END AS reason
+            FROM book_state LEFT JOIN stray USING (b)
+            UNION ALL
+            SELECT bs.b, code, CASE WHEN st.b IS NULL THEN 'one sheet must be named for it, not 0'
+                WHEN rows = 0 THEN 'its sheet has no rows' WHEN first_row <> 1 THEN 'its first row is not the header row' END
+            FROM book_state bs JOIN (VALUES ('shop_daily_source', 2), ('sku_source', 3), ('spu_source', -1)) AS k(code, pos) ON bs.registered
+            LEFT JOIN state st ON st.b = bs.b AND st.i = pos)
+        SELECT b AS workbook_identifier, dataset_code, reason FROM found WHERE reason IS NOT NULL) AS violations""",
+    "dq_rules": RULES_SQL,
+    "normalize_family": FAMILY_SQL,
+    "schema_manifest": SCHEMA_MANIFEST_SQL,
+    "run_manifest": """
+        SELECT 'b' AS batch_id, CAST(1 AS BIGINT) AS dataset_version, 'run' AS entry, NULL AS name, NULL AS workbook_file_name,
+            NULL AS file_hash, CAST(NULL AS BIGINT) AS row_count, count(*) AS workbook_count FROM nation
+        UNION ALL
+        SELECT 'b', 1, 'dataset', code, NULL, NULL, count(o_orderkey), NULL
+        FROM family LEFT JOIN orders ON o_orderkey % 7 = i AND o_orderkey % 11 <> 0 GROUP BY code
+        UNION ALL
+        SELECT 'b', 1, 'workbook', book, book || '.xlsx', sha256(book), NULL, NULL FROM book""",
     "dataset_row_counts": f"""
         SELECT 'pdd_' || shop_id || '_workbook_2026' AS workbook_identifier, code AS dataset_code, count(*) AS row_count
         FROM line JOIN (VALUES {TOKEN_ROWS}) AS k(i, token, code) ON i = l_linenumber GROUP BY shop_id, code""",

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import SHOP_DAILY_LOAD, SKU_DAILY_LOAD, SKU_SOURCE, SPU_SOURCE
+from ..contracts import CANONICAL_COLUMNS, SHOP_DAILY_LOAD, SHOP_DAILY_SOURCE, SKU_DAILY_LOAD, SKU_SOURCE, SPU_SOURCE
 from ..functions import (
     blank_to_null,
     excel_date,
@@ -19,12 +19,12 @@ from ..functions import (
     payload_text,
 )
 from ..operators import inventory as inv
-from ..operators import merge, quality
+from ..operators import merge, quality, rules
 from ..operators.headers import extra_payload, extract_raw_rows, preview, resolve_headers, with_header_positions
 from ..operators.joins import current_version, lookup_by_code, lookup_join, resolve_shop
 from ..operators.ranking import Order, Rank, dense_ranks
 from ..plans import facts, reporting, reviews
-from ..plans.normalise import concat_datasets, normalize_dataset, sheet_payloads
+from ..plans.normalise import concat_datasets, family_headers, normalize_dataset, normalize_family, sheet_payloads
 from ..plans.staging import backfill_layers, scope_import, to_stg_shop_day, to_stg_sku_day
 from ..session import configure, materialise, shared_dir
 from ..sources import landed, sinks
@@ -484,6 +484,55 @@ def sheet_inventory(t: Tables) -> DataFrame:
     return listed.withColumn("sheet_group", inv.classify_sheet(F.col("sheet_name")))
 
 
+@query("sheet_registry_inventory")
+def sheet_registry_inventory(t: Tables) -> DataFrame:
+    """All listed sheets with their rows, also those that have none."""
+    by = ["workbook_identifier"]
+    counts = inv.sheet_row_counts(b.order_sheet_rows(t), by, b.order_sheets(t))
+    target = inv.detect_sheet(counts, SHOP_DAILY_LOAD.sheet_token, by).withColumnRenamed("sheet_name", "target")
+    return inv.sheet_inventory(lookup_join(counts, target, by, "left"), SHOP_DAILY_LOAD, F.col("target")).drop("target")
+
+
+@query("family_inventory")
+def family_inventory(t: Tables) -> DataFrame:
+    files = b.order_files(t)
+    counts = inv.sheet_row_counts(b.order_sheet_rows(t), ["workbook_identifier"], b.order_sheets(t))
+    counted = counts.join(files.drop("workbook_file_hash"), "workbook_identifier")
+    return inv.family_inventory(counted, inv.batch_id(files))
+
+
+@query("sheet_shape")
+def sheet_shape(t: Tables) -> DataFrame:
+    return inv.sheet_shape_violations(b.order_sheet_rows(t), [SHOP_DAILY_SOURCE, SKU_SOURCE, SPU_SOURCE], b.order_sheets(t), b.order_files(t))
+
+
+@query("normalize_family")
+def normalize_whole_family(t: Tables) -> DataFrame:
+    """All seven datasets from one pass; the digest covers every canonical column."""
+    files = b.shop_files(t)
+    rows = normalize_family(b.family_rows(t), files, inv.batch_id(files))
+    values = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in CANONICAL_COLUMNS])
+    lineage = ["dataset_code", "grain_code", "workbook_identifier", "shop_code", "sheet_name", "sheet_index", "source_row_number"]
+    return rows.select(*lineage, "source_header_variant", "source_extra_payload_json", F.md5(values.cast("binary")).alias("digest"))
+
+
+def _family_counts(t: Tables) -> DataFrame:
+    rows = normalize_family(b.family_rows(t), b.shop_files(t), "b")
+    return materialise(inv.dataset_row_counts(rows, ["dataset_code", "workbook_identifier"]))
+
+
+@query("schema_manifest")
+def schema_manifest(t: Tables) -> DataFrame:
+    manifest = inv.schema_manifest(family_headers(b.family_rows(t)), "b", _family_counts(t))
+    joined = [F.array_join(c, ",").alias(c) for c in ("headers", "missing_headers", "unexpected_headers")]
+    return manifest.select("dataset_code", "grain_code", "workbook_identifier", "sheet_name", "row_count", F.size("mapping").alias("matched_count"), *joined)
+
+
+@query("run_manifest")
+def run_manifest(t: Tables) -> DataFrame:
+    return inv.run_manifest(b.shop_files(t), _family_counts(t), "b")
+
+
 @query("dataset_row_counts")
 def dataset_row_counts(t: Tables) -> DataFrame:
     return inv.dataset_row_counts(b.line_sheet_rows(t), ["workbook_identifier", "dataset_code"])
@@ -569,6 +618,12 @@ def dq_nulls(t: Tables) -> DataFrame:
     )
 
 
+@query("dq_rules")
+def dq_rules(t: Tables) -> DataFrame:
+    """All declared rules over all layers, one row for each."""
+    return rules.check(b.rule_tables(t))
+
+
 @query("dq_lineage")
 def dq_lineage(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", F.when(F.col("lang") != "en", F.col("lang")).alias("r_name"))

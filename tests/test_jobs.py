@@ -102,9 +102,9 @@ def test_family_snapshot_and_reviews(spark, tmp_path):
     assert target.endswith("version=1")
     assert jobs.family_dataset(spark, family, "sku_source").count() == 2
     manifest = {r["name"]: r["row_count"] for r in spark.read.json(f"{target}/run_manifest").collect()}
-    assert manifest["sku_source"] == 2 and manifest[BOOK] is None
+    assert manifest["sku_source"] == 2 and manifest[BOOK] is None and manifest["product_rating_source"] == 0
     assert {r["batch_id"] for r in spark.read.parquet(f"{target}/sheet_inventory").collect()} == {batch_id(files)}
-    schema = spark.read.json(f"{target}/schema_manifests/dataset=shop_daily_source").first()
+    schema = spark.read.json(f"{target}/schema_manifests").filter("dataset_code = 'shop_daily_source'").first()
     assert (schema["row_count"], schema["missing_headers"]) == (1, ["商品收藏率"])
     assert len(spark.read.json(f"{target}/sheet_classification").first()["sheets"]) == 8
 

@@ -52,7 +52,7 @@ def test_header_positions_last_column_wins(spark):
 
 def test_strict_resolution_names_all_missing(spark):
     names = [f.headers[0] for f in SHOP_DAILY_LOAD.fields if f.name not in ("uv_value", "buyer_count")]
-    with pytest.raises(Exception, match="Missing expected columns: 成交买家数 / 支付买家数, UV价值"):
+    with pytest.raises(Exception, match="no column for: 成交买家数 / 支付买家数, UV价值"):
         resolve_headers(headers_of(spark, names), SHOP_DAILY_LOAD).collect()
 
 
@@ -119,7 +119,7 @@ def test_preview(spark, sheet):
 
 def test_header_must_be_on_row_one(spark, sheet):
     moved = sheet.withColumn("row_number", F.col("row_number") + 1)
-    with pytest.raises(Exception, match="does not start headers on row 1"):
+    with pytest.raises(Exception, match="sheet without header row"):
         sheet_payloads(moved, SKU_SOURCE, strict=False).collect()
 
 
@@ -127,12 +127,12 @@ def test_shape_violations(spark, sheet):
     inv.require_none(inv.sheet_shape_violations(sheet, [SKU_SOURCE]), "layout")
     both = inv.sheet_shape_violations(sheet, [SKU_SOURCE, SHOP_DAILY_SOURCE])
     assert [(r["dataset_code"], r["reason"]) for r in both.collect()] == [
-        ("shop_daily_source", "expected exactly one sheet, found 0")
+        ("shop_daily_source", "one sheet must be named for it, not 0")
     ]
     with pytest.raises(ValueError, match="layout"):
         inv.require_none(both, "layout")
     late = inv.sheet_shape_violations(sheet.filter("row_number > 1"), [SKU_SOURCE]).first()
-    assert late["reason"] == "does not start headers on row 1"
+    assert late["reason"] == "its first row is not the header row"
 
 
 def test_extract_raw_rows_drops_blank(spark, sheet):
@@ -180,12 +180,12 @@ def test_detect_and_choose_sheet(spark):
     )
     only = lambda w: sheets.filter(F.col("w") == w)
     assert inv.detect_sheet(only("a"), "日报数据源", ["w"]).first()["sheet_name"] == "①日报数据源"
-    with pytest.raises(Exception, match="Multiple sheets match 日报数据源: 日报数据源1, 日报数据源2"):
+    with pytest.raises(Exception, match="more than one sheet is named for 日报数据源: 日报数据源1, 日报数据源2"):
         inv.detect_sheet(only("b"), "日报数据源", ["w"]).collect()
-    with pytest.raises(Exception, match="No sheet name contains 日报数据源"):
+    with pytest.raises(Exception, match="no sheet is named for 日报数据源"):
         inv.detect_sheet(only("c"), "日报数据源", ["w"]).collect()
     assert inv.choose_sheet(only("b"), "日报数据源", ["w"], "日报数据源2").first()["sheet_name"] == "日报数据源2"
-    with pytest.raises(Exception, match="Sheet not found: nope"):
+    with pytest.raises(Exception, match="the workbook has no sheet nope"):
         inv.choose_sheet(only("a"), "日报数据源", ["w"], "nope").collect()
 
 
@@ -222,7 +222,7 @@ def test_workbook_identity(spark):
     row = landed.workbook_identity(df, "p").first()
     assert (row["shop_code"], row["workbook_identifier"]) == ("pdd_12", "pdd_12_workbook_2026")
     bad = spark.createDataFrame([("/a/pdd_x_workbook_2026.xlsx",)], "p string")
-    with pytest.raises(Exception, match="Unexpected workbook name"):
+    with pytest.raises(Exception, match="not a workbook of the family"):
         landed.workbook_identity(bad, "p").collect()
 
 
@@ -238,11 +238,13 @@ def test_fingerprints(spark, tmp_path):
 
 def test_manifest_rows(spark, sheet, files):
     out = normalize_dataset(sheet, files, SKU_SOURCE, "b1")
-    rows = {(r["entry"], r["name"]): r["row_count"] for r in inv.run_manifest(files, out, "b1").collect()}
-    assert rows == {("dataset", "sku_source"): 3, ("workbook", "pdd_1_workbook_2026"): None}
+    rows = {(r["entry"], r["name"]): r for r in inv.run_manifest(files, inv.dataset_row_counts(out), "b1").collect()}
+    assert {k: r["row_count"] for k, r in rows.items() if r["row_count"]} == {("dataset", "sku_source"): 3} and len(rows) == 9
+    assert rows["dataset", "spu_source"]["row_count"] == 0 and rows["run", None]["workbook_count"] == 1
+    assert rows["workbook", "pdd_1_workbook_2026"]["workbook_file_name"] == "pdd_1_workbook_2026.xlsx"
     resolved = resolve_headers(with_header_positions(sheet.filter("row_number = 1")), SKU_SOURCE, strict=False)
     counts = inv.dataset_row_counts(out, ["dataset_code", "workbook_identifier"])
-    manifest = inv.schema_manifest(resolved, "sku_source", "b1", counts).first()
+    manifest = inv.schema_manifest(resolved.withColumn("dataset_code", F.lit("sku_source")), "b1", counts).first()
     assert (manifest["row_count"], manifest["unexpected_headers"]) == (3, ["备注", "颜色"])
     listed = inv.family_inventory(inv.sheet_row_counts(sheet, ["workbook_identifier"]), "b1").first()
     assert (listed["detected_row_count"], listed["sheet_group"]) == (5, "raw-source")

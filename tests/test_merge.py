@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import merge
+from salesmart.sources import commits
 
 D1, D2, D3 = dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(2025, 2, 1)
 SCHEMA = "shop_id int, sales_date date, amount int, import_file_id int, created_at int"
@@ -73,13 +74,14 @@ def test_upsert_table_rewrites_only_touched_months(spark, tmp_path, monkeypatch,
     path = str(tmp_path / "fact")
     first = spark.createDataFrame([(1, D1, 10, 1, 100), (1, D3, 20, 1, 100)], SCHEMA)
     merge.upsert_table(spark, path, first, KEYS, UPDATE, keep_cols=KEEP)
-    february = sorted(p.name for p in (tmp_path / "fact" / "sales_month=2025-02").glob("*.parquet"))
+    february = commits.current(spark, path).folders["fact/2025-02"]
     second = spark.createDataFrame([(1, D1, 11, 2, 200), (1, D2, 12, 2, 200)], SCHEMA)
     for _ in range(2):
         merge.upsert_table(spark, path, second, KEYS, UPDATE, keep_cols=KEEP)
-        got = spark.read.parquet(path).select(*KEYS, *UPDATE, *KEEP)
+        at = commits.current(spark, path)
+        got = commits.read(spark, path, at, "fact").select(*KEYS, *UPDATE, *KEEP)
         assert rows(got) == [(1, D1, 11, 2, 100), (1, D2, 12, 2, 200), (1, D3, 20, 1, 100)]
-    assert february == sorted(p.name for p in (tmp_path / "fact" / "sales_month=2025-02").glob("*.parquet"))
+    assert at.folders["fact/2025-02"] == february and at.version == 3
 
 
 def test_insert_missing_and_update_from(spark):
