@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes of the rows that are encoded together, bytes that one scan looks at, and pre-tokens that are merged at once.
 PORTION, SCAN, SLICE = 2 << 20, 1 << 19, 1 << 16
-#: Entries of the memo, and bytes of a remembered piece.
-MEMO, REMEMBERED = 250_000, 64
+#: Entries of each of the two halves of the memo, and bytes of a remembered piece.
+MEMO, REMEMBERED = 150_000, 64
 
 # --- classes of code points --------------------------------------------------------------------------------------------
 
@@ -182,7 +182,9 @@ def pretoken_starts(body: np.ndarray, firsts: np.ndarray, classes: np.ndarray) -
 
 
 class Merger(dict):
-    """Token ids of pre-tokens as packed 32-bit numbers: a memo of bounded size over pair merging by rank."""
+    """Token ids of pre-tokens as packed 32-bit numbers: a memo of bounded size over pair merging by rank.
+
+    When the newer half of the memo is full it becomes the older one; pieces found there move on, so frequent ones stay."""
 
     def __init__(self, vocabulary: bytes):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
@@ -193,11 +195,15 @@ class Merger(dict):
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.blob = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = array("i", self.merge(piece)).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("i", self.merge(piece)).tobytes()
         if len(piece) <= REMEMBERED:
             if len(self) >= MEMO:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
