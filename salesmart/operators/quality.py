@@ -47,6 +47,33 @@ def lineage_violations(df: DataFrame, parents: dict[str, tuple[DataFrame, list[s
     return reduce(DataFrame.unionByName, parts)
 
 
+def lineage_delta(
+    df: DataFrame, parents: dict[str, tuple[DataFrame, list[str]]], import_id: int, column: str = "import_file_id"
+) -> DataFrame:
+    """``lineage_violations`` of the rows of one import.
+
+    The import is a literal, so of layers kept by import only its folder is opened,
+    of the child and of every parent that the import is part of the key of.
+    """
+    own = {
+        name: (parent.filter(F.col(column) == import_id) if column in keys else parent, keys)
+        for name, (parent, keys) in parents.items()
+    }
+    return lineage_violations(df.filter(F.col(column) == import_id), own)
+
+
+def metric_outliers(staging: DataFrame, tolerance: str = "0.005") -> DataFrame:
+    """The rows of ``metric_reconcile`` with a ratio that is off, one row per ratio: its source and its derived value."""
+    flagged = metric_reconcile(staging, tolerance)
+    ratios = F.array(
+        *[
+            F.struct(F.lit(m).alias("metric"), F.col(m).cast("decimal(18,6)").alias("source"), F.col(f"derived_{m}").cast("decimal(18,6)").alias("derived"), F.col(f"{m}_differs").alias("off"))
+            for m in ("conversion_rate", "avg_order_value", "uv_value")
+        ]
+    )
+    return flagged.select("shop_id", "sales_date", F.inline(ratios)).filter("off").drop("off")
+
+
 def missing_columns(
     required: list[str], present: DataFrame, by: list[str], column: str = "column_name", groups: DataFrame | None = None
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.headers import preview
 from ..operators.merge import insert_missing, month_state, next_id, upsert, upsert_months, with_month
 from ..operators.quality import duplicate_keys
 from ..operators.windows import latest_date, trailing_days
-from ..session import materialise
+from ..session import materialise, scratch
 from ..sources import commits, sinks, storage
 from ..sources.landed import read_family, seed_rows
 from . import facts, reporting, reviews
@@ -224,13 +224,15 @@ def _load(spark: SparkSession, wh: Warehouse, book: Workbook, contract: Contract
 def load_shop_day(spark: SparkSession, wh: Warehouse, book: Workbook, now: dt.datetime) -> int:
     """Workbook -> raw rows -> staging -> shop-day facts, as one commit. Each run is a new import."""
     columns = [*SHOP_DAY_FACT, "import_file_id", "source_row_number"]
-    return _load(spark, wh, book, SHOP_DAILY_LOAD, now, "fact_shop_day", narrow_fact, facts.SHOP_DAY_KEYS, columns)
+    with scratch(spark):
+        return _load(spark, wh, book, SHOP_DAILY_LOAD, now, "fact_shop_day", narrow_fact, facts.SHOP_DAY_KEYS, columns)
 
 
 def load_sku_day(spark: SparkSession, wh: Warehouse, book: Workbook, now: dt.datetime) -> int:
     """Workbook -> raw rows -> staging -> SKU-day facts, as one commit; the new totals replace older ones."""
     columns = [*SKU_MONEY, "import_file_id", "source_row_count", "product_name"]
-    return _load(spark, wh, book, SKU_DAILY_LOAD, now, "fact_sku_day", facts.named_sku_day, facts.SKU_DAY_KEYS, columns)
+    with scratch(spark):
+        return _load(spark, wh, book, SKU_DAILY_LOAD, now, "fact_sku_day", facts.named_sku_day, facts.SKU_DAY_KEYS, columns)
 
 
 # --- reports over the stored layers -------------------------------------------------------------------------------------
@@ -289,6 +291,11 @@ def build_family(
     inventory, for the headers, and once for the data of all datasets. The run manifest is written last; readers see the
     version from then on.
     """
+    with scratch(spark):
+        return _build_family(spark, rows, files, root, sheets)
+
+
+def _build_family(spark: SparkSession, rows: DataFrame, files: DataFrame, root: str, sheets: DataFrame | None) -> str:
     key = "workbook_identifier"
     sheets = inv.listed_sheets(rows, [key]) if sheets is None else sheets
     counts = materialise(inv.sheet_row_counts(rows, [key], sheets))
@@ -313,7 +320,8 @@ def family_dataset(spark: SparkSession, root: str, code: str) -> DataFrame:
 
 def refresh_monitoring(spark: SparkSession, family_root: str, snapshot_root: str, now: dt.datetime) -> str:
     """Replace the product monitoring snapshot from the current SPU dataset."""
-    return sinks.refresh_snapshot(reviews.spu_snapshot(family_dataset(spark, family_root, "spu_source"), now), snapshot_root)
+    with scratch(spark):
+        return sinks.refresh_snapshot(reviews.spu_snapshot(family_dataset(spark, family_root, "spu_source"), now), snapshot_root)
 
 
 def export_reviews(spark: SparkSession, wh: Warehouse, family_root: str, root: str, now: dt.datetime) -> str:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,14 +41,35 @@ def shared_dir(spark: SparkSession) -> str:
     return shared
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scope that owns what ``materialise`` writes inside it and removes it at the end, also after a failure.
+
+    Jobs that end in a write run in one; frames derived from its tables are of no use afterwards.
+    """
+    from .sources import storage
+
+    folder = f"{shared_dir(spark)}/salesmart-job-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        storage.remove(spark, folder)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and continue from the written copy.
 
     Used where a result is read several times or where row positions must not
     change if an executor is lost and tasks are run again. Unlike a cached copy
     it survives lost executors, is pruned by column, and its size is known to
-    the optimiser.
+    the optimiser. Inside ``scratch`` the copy is removed with its scope; queries
+    that return a frame leave theirs to the owner of the shared folder.
     """
-    path = f"{shared_dir(df.sparkSession)}/salesmart-{uuid.uuid4().hex}"
+    path = f"{_SCOPE.get() or shared_dir(df.sparkSession)}/salesmart-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

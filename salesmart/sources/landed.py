@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..contracts import DATASETS, SOURCE_TYPE_SEEDS
@@ -48,6 +49,47 @@ def read_csv_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
+def read_ordered(spark: SparkSession, path: str, by: tuple[str, ...] = (), name: str = "position") -> DataFrame:
+    """Rows of a written folder with the position at which they lie in it, from 1, in each group of ``by`` folders.
+
+    Positions are those of the files: by part number, then by row inside a part.
+    Each part's rows carry their own index, so only one row per file is counted up.
+    """
+    number = F.regexp_extract("_file", r"^part-([0-9]+)", 1).cast("int").alias("_part")
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = rows.groupBy(*by, "_file").agg(F.count(F.lit(1)).alias("_n")).select(*by, "_file", "_n", number)
+    files = W.partitionBy(*by).orderBy("_part", "_file").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(*by, "_file", F.coalesce(F.sum("_n").over(files), F.lit(0)).alias("_start"))
+    placed = rows.join(starts, [*by, "_file"])
+    return placed.withColumn(name, F.col("_start") + F.col("_row") + 1).drop("_file", "_row", "_start")
+
+
+def out_of_order(positioned: DataFrame, order: list[tuple[str, bool]], by: tuple[str, ...] = (), name: str = "position") -> DataFrame:
+    """Rows that lie behind a row that belongs after them; ``order`` has columns and whether they descend (NULL then last).
+
+    Every row is compared with the one before it; rows are dealt by ranges of positions, whose first rows are given the last
+    row of the range before, so that part boundaries are checked as well and no task has the whole table.
+    """
+    keys = [c for c, _ in order]
+    size = 100_000
+    block = F.floor((F.col(name) - 1) / size)
+    rows = positioned.select(*by, name, *keys)
+    # The last row of a range is also the one before the first of the next.
+    own = rows.withColumn("_block", block)
+    lent = own.filter(F.col(name) % size == 0).withColumn("_block", F.col("_block") + 1)
+    window = W.partitionBy(*by, "_block").orderBy(name)
+    both = own.unionByName(lent)
+    for k in keys:
+        both = both.withColumn(f"_before_{k}", F.lag(k).over(window))
+    fine = F.lit(True)
+    for k, descending in reversed(order):
+        a, b = (F.col(k), F.col(f"_before_{k}")) if descending else (F.col(f"_before_{k}"), F.col(k))
+        first = a.isNull() & b.isNotNull()
+        fine = F.coalesce(a < b, F.lit(False)) | first | (a.eqNullSafe(b) & fine)
+    has_before = F.lag(F.lit(1)).over(window).isNotNull()
+    return both.withColumn("_fine", ~has_before | fine).filter(~F.col("_fine")).select(*by, name, *keys)
+
+
 def read_dataset(spark: SparkSession, root: str, code: str) -> DataFrame:
     """One normalised dataset; a missing path fails the read."""
     if code not in DATASETS:

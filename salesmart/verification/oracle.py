@@ -430,6 +430,9 @@ BODIES = {
     "sku_display_name": f"""
         SELECT {big("import_file_id", "shop_id")}, CAST(sales_date AS VARCHAR) AS sales_date, {IDENTITY}, product_name
         FROM sku_total""",
+    "display_name_join": f"""
+        SELECT {big("import_file_id", "shop_id")}, CAST(sales_date AS VARCHAR) AS sales_date, {IDENTITY}, product_name,
+            source_rows AS source_row_count FROM sku_total""",
     "view_sku_daily": f"""
         SELECT {SKU_LABELS}, CAST(sales_date AS VARCHAR) AS "日期", product_id AS "商品ID", sku_id AS "SKU-ID",
             merchant_sku_code AS "商家SKU编码", product_specification AS "商品规格", CAST(units AS DOUBLE) AS "销量",
@@ -603,6 +606,7 @@ BODIES = {
             double_price AS merchant_net_amount, 'S' || o_orderkey AS sku_id
         FROM sku_sheet QUALIFY row_number() OVER (PARTITION BY book ORDER BY row_no) <= 5""",
     "sheet_detect": "SELECT workbook_identifier, '①日报数据源' || (k % 7) AS sheet_name FROM wb",
+    "sheet_override": "SELECT workbook_identifier, ' SKU源数据 ' AS sheet_name FROM wb",
     "sheet_classify": "SELECT workbook_identifier, sheet_index, sheet_name, sheet_group FROM sheet",
     "classification_doc": """
         SELECT workbook_identifier, '[' || string_agg('{"sheet_index":' || sheet_index || ',"sheet_name":"' || sheet_name
@@ -702,6 +706,23 @@ BODIES = {
         SELECT 'region', 'missing', count(*) FILTER (WHERE lang = 'en') FROM documents
         UNION ALL
         SELECT 'region', 'orphan', count(*) FROM documents WHERE lang <> 'en' AND lang NOT IN (SELECT r_name FROM region)""",
+    "dq_lineage_delta": """
+        SELECT p AS parent, problem, CASE problem || p WHEN 'missingraw' THEN count(*) FILTER (WHERE row_no IS NULL)
+            WHEN 'missingshops' THEN count(*) FILTER (WHERE shop IS NULL)
+            WHEN 'orphanshops' THEN count(*) FILTER (WHERE shop NOT IN (SELECT n_nationkey FROM nation))
+            ELSE count(*) FILTER (WHERE row_no NOT IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey % 7 = 3)) END AS rows
+        FROM (SELECT CASE WHEN l_linenumber <> 4 THEN l_orderkey + CASE WHEN l_partkey % 20 = 0 THEN 1 ELSE 0 END END AS row_no,
+                CASE WHEN l_linenumber <> 5 THEN l_suppkey % 27 END AS shop FROM lineitem WHERE l_suppkey % 7 = 3),
+            (VALUES ('raw'), ('shops')) AS a(p), (VALUES ('missing'), ('orphan')) AS b(problem)
+        GROUP BY p, problem""",
+    "metric_outliers": """
+        SELECT * FROM (
+            SELECT CAST(shop_id AS BIGINT) AS shop_id, CAST(sales_date AS VARCHAR) AS sales_date, 'conversion_rate' AS metric,
+                source_rate AS source, derived_rate AS derived FROM shop_source
+            WHERE abs(round(source_rate * 10000) - round(derived_rate * 10000)) > 50
+            UNION ALL
+            SELECT shop_id, CAST(sales_date AS VARCHAR), 'uv_value', source_uv, derived_uv FROM shop_source
+            WHERE abs(round(source_uv * 100) - round(derived_uv * 100)) > 0.5)""",
     "metric_reconcile": """
         SELECT CAST(shop_id AS BIGINT) AS shop_id, count(*) AS row_count,
             count(source_rate - derived_rate) AS conversion_rate_compared,
@@ -748,7 +769,12 @@ BODIES = {
             json_extract_string(props, '$.k') AS k_text
         FROM events""",
     "dataset_roundtrip": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
-    "file_fingerprint": "SELECT s_suppkey, sha256(s_name || chr(10)) AS workbook_file_hash FROM supplier",
+    "file_fingerprint": """
+        SELECT s_suppkey % 64 AS book, sha256(string_agg(s_name || chr(10), '' ORDER BY s_suppkey)) AS workbook_file_hash
+        FROM supplier GROUP BY 1""",
+    "platform_lookup": """
+        SELECT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+        WHERE r_name = 'ASIA'""",
     "published_snapshot": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'",
     "appended_imports": """
         SELECT o_orderkey AS row_number, o_orderpriority AS sheet_name, CAST(1 AS BIGINT) AS import_file_id
@@ -777,4 +803,29 @@ BODIES = {
     "lookup_by_code": "SELECT p_partkey, p_brand FROM part WHERE p_brand = 'Brand#11'",
 }
 
+
+#: Sort keys of written outputs and the positions that follow from them.
+ORDERED = {
+    "ordered_review_daily": ("review_daily", '"店铺", "日期"', '"店铺", "日期"'),
+    "ordered_review_monthly": ("review_monthly", '"店铺", "月份"', '"店铺", "月份"'),
+    "ordered_review_spu": (
+        "review_spu",
+        '"店铺", "日期", CAST("销售额" AS DOUBLE) AS "销售额", "SPU", "计划名", "链接名称"',
+        '"店铺" DESC, "日期" DESC, CAST("销售额" AS DOUBLE) DESC, "SPU", "计划名", "链接名称"',
+    ),
+    "ordered_snapshot": (
+        "spu_snapshot",
+        "shop_code, sales_date, spu_name, campaign_name, listing_name",
+        "shop_code, sales_date, spu_name, campaign_name, listing_name",
+    ),
+}
+BODIES |= {
+    name: f"SELECT {shown}, row_number() OVER (ORDER BY {order}) AS position FROM ({BODIES[source]}) AS report"
+    for name, (source, shown, order) in ORDERED.items()
+}
+FAMILY_KEYS = "workbook_identifier, sheet_index, source_row_number"
+BODIES["ordered_family"] = f"""
+    SELECT dataset_code, {FAMILY_KEYS}, row_number() OVER (PARTITION BY dataset_code ORDER BY {FAMILY_KEYS}) AS position
+    FROM ({FAMILY_SQL}) AS family_rows"""
+
 ORACLE = {name: sql(body) for name, body in BODIES.items()}

@@ -21,10 +21,10 @@ from ..functions import (
 from ..operators import inventory as inv
 from ..operators import merge, quality, rules
 from ..operators.headers import extra_payload, extract_raw_rows, preview, resolve_headers, with_header_positions
-from ..operators.joins import current_version, lookup_by_code, lookup_join, resolve_shop
+from ..operators.joins import current_version, lookup_by_code, lookup_join, platform_id_of, resolve_shop, with_display_name
 from ..operators.ranking import Order, Rank, dense_ranks
 from ..plans import facts, reporting, reviews
-from ..plans.normalise import concat_datasets, family_headers, normalize_dataset, normalize_family, sheet_payloads
+from ..plans.normalise import concat_datasets, family_headers, normalize_dataset, normalize_family, sheet_payloads, sorted_dataset
 from ..plans.staging import backfill_layers, scope_import, to_stg_shop_day, to_stg_sku_day
 from ..session import configure, materialise, shared_dir
 from ..sources import landed, sinks
@@ -139,6 +139,14 @@ def sku_display_name(t: Tables) -> DataFrame:
     return facts.sku_display_name(b.sku_staging(t))
 
 
+@query("display_name_join")
+def display_name_join(t: Tables) -> DataFrame:
+    staging = materialise(b.sku_staging(t))
+    return with_display_name(facts.fact_sku_day(staging), facts.sku_display_name(staging)).select(
+        "import_file_id", "shop_id", "sales_date", *facts.IDENTITY, "product_name", "source_row_count"
+    )
+
+
 @query("view_sku_daily")
 def view_sku_daily(t: Tables) -> DataFrame:
     return reporting.sku_daily(*_sku_layers(t))
@@ -466,6 +474,12 @@ def sheet_detect(t: Tables) -> DataFrame:
     return inv.detect_sheet(b.order_sheets(t), SHOP_DAILY_LOAD.sheet_token, ["workbook_identifier"])
 
 
+@query("sheet_override")
+def sheet_override(t: Tables) -> DataFrame:
+    """A sheet named explicitly replaces detection."""
+    return inv.choose_sheet(b.order_sheets(t), SHOP_DAILY_LOAD.sheet_token, ["workbook_identifier"], " SKU源数据 ")
+
+
 @query("sheet_classify")
 def sheet_classify(t: Tables) -> DataFrame:
     return b.order_sheets(t).withColumn("sheet_group", inv.classify_sheet(F.col("sheet_name")))
@@ -624,6 +638,24 @@ def dq_rules(t: Tables) -> DataFrame:
     return rules.check(b.rule_tables(t))
 
 
+@query("dq_lineage_delta")
+def dq_lineage_delta(t: Tables) -> DataFrame:
+    """Lineage of the rows of one import, from layers that are kept by import; the cut is the feature."""
+    staging, raw = _new_path(t, "staging"), _new_path(t, "raw")
+    rows = t.lineitem.withColumn("import_file_id", F.pmod("l_suppkey", F.lit(7)).cast("int"))
+    number = F.when(F.col("l_linenumber") != 4, F.col("l_orderkey") + F.when(F.col("l_partkey") % 20 == 0, 1).otherwise(0))
+    shop = F.when(F.col("l_linenumber") != 5, F.col("l_suppkey") % 27)
+    sinks.append_import(rows.select("import_file_id", number.alias("row_number"), shop.alias("shop_id")), staging)
+    sinks.append_import(rows.select("import_file_id", F.col("l_orderkey").alias("row_number")), raw)
+    parents = {"raw": (t.spark.read.parquet(raw), ["import_file_id", "row_number"]), "shops": (b.dim_shop(t), ["shop_id"])}
+    return quality.lineage_delta(t.spark.read.parquet(staging), parents, 3)
+
+
+@query("metric_outliers")
+def metric_outliers(t: Tables) -> DataFrame:
+    return quality.metric_outliers(b.shop_day_clean(t))
+
+
 @query("dq_lineage")
 def dq_lineage(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", F.when(F.col("lang") != "en", F.col("lang")).alias("r_name"))
@@ -719,13 +751,13 @@ def dataset_roundtrip(t: Tables) -> DataFrame:
 
 @query("file_fingerprint")
 def file_fingerprint(t: Tables) -> DataFrame:
-    """One text file per supplier, hashed as landed workbooks are."""
+    """Suppliers in 64 text files, whatever their number, hashed as landed workbooks are."""
     root = _new_path(t, "files")
-    names = t.supplier.select("s_suppkey", "s_name").repartition("s_suppkey")
-    names.write.partitionBy("s_suppkey").text(root)
+    book = (F.col("s_suppkey") % 64).alias("book")
+    names = t.supplier.select(book, "s_suppkey", "s_name").repartition(64, "book").sortWithinPartitions("book", "s_suppkey")
+    names.select("book", "s_name").write.partitionBy("book").text(root)
     found = landed.file_fingerprints(t.spark, f"{root}/*/*.txt")
-    supplier = F.regexp_extract("workbook_path", "s_suppkey=([0-9]+)", 1).cast("bigint")
-    return found.select(supplier.alias("s_suppkey"), "workbook_file_hash")
+    return found.select(F.regexp_extract("workbook_path", "book=([0-9]+)", 1).cast("bigint").alias("book"), "workbook_file_hash")
 
 
 @query("published_snapshot")
@@ -752,6 +784,51 @@ def appended_imports(t: Tables) -> DataFrame:
     return scope_import(t.spark.read.parquet(path), 1, "1-URGENT")
 
 
+# --- order of written output ------------------------------------------------
+
+
+def _placed(t: Tables, df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
+    """The sort keys with the positions at which the rows lie in the written files; rows out of order fail the job."""
+    path = _new_path(t, "ordered")
+    sinks.write_dataset(df, path)
+    rows = landed.read_ordered(t.spark, path)
+    inv.require_none(landed.out_of_order(rows, order), "order of the written rows")
+    return rows.select(*[c for c, _ in order], "position")
+
+
+@query("ordered_review_daily")
+def ordered_review_daily(t: Tables) -> DataFrame:
+    return _placed(t, reviews.review_daily(*_shop_layers(t)), [("店铺", False), ("日期", False)])
+
+
+@query("ordered_review_monthly")
+def ordered_review_monthly(t: Tables) -> DataFrame:
+    return _placed(t, reviews.review_monthly(*_shop_layers(t)), [("店铺", False), ("月份", False)])
+
+
+@query("ordered_review_spu")
+def ordered_review_spu(t: Tables) -> DataFrame:
+    rows = reviews.review_spu(b.spu_source(t)).withColumn("销售额", F.col("销售额").cast("decimal(20,2)"))
+    return _placed(t, rows, [("店铺", True), ("日期", True), ("销售额", True), ("SPU", False), ("计划名", False), ("链接名称", False)])
+
+
+@query("ordered_snapshot")
+def ordered_snapshot(t: Tables) -> DataFrame:
+    return _placed(t, reviews.spu_snapshot(b.spu_source(t), REFRESHED_AT), [(k, False) for k in reviews.SPU_KEYS])
+
+
+@query("ordered_family")
+def ordered_family(t: Tables) -> DataFrame:
+    """The seven datasets written side by side in one pass; positions inside each dataset."""
+    root = _new_path(t, "family")
+    rows = normalize_family(b.family_rows(t), b.shop_files(t), "b")
+    sinks.write_datasets(sorted_dataset(rows), root)
+    placed = landed.read_ordered(t.spark, f"{root}/datasets", ("dataset_code",))
+    keys = ["workbook_identifier", "sheet_index", "source_row_number"]
+    inv.require_none(landed.out_of_order(placed, [(k, False) for k in keys], ("dataset_code",)), "order of the written rows")
+    return placed.select("dataset_code", *keys, "position")
+
+
 # --- paths that only large inputs take by themselves ------------------------
 
 
@@ -816,6 +893,14 @@ def resolve(t: Tables) -> DataFrame:
     return resolve_shop(platforms, shops, "1-URGENT", "BUILDING")
 
 
+@query("platform_lookup")
+def platform_lookup(t: Tables) -> DataFrame:
+    """Customers of one platform, whose id is looked up by its code first."""
+    platforms = t.region.select(F.col("r_regionkey").alias("platform_id"), F.col("r_name").alias("platform_code"))
+    shops = t.nation.filter(F.col("n_regionkey") == platform_id_of(platforms, "ASIA")).select(F.col("n_nationkey").alias("c_nationkey"))
+    return lookup_join(t.customer, shops, ["c_nationkey"], "inner").select("c_custkey")
+
+
 @query("lookup_by_code")
 def by_code(t: Tables) -> DataFrame:
     return lookup_by_code(t.part.select("p_partkey", "p_brand"), "p_brand", "Brand#11")

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import joins, quality
-from salesmart.session import materialise, shared_dir
-from salesmart.sources import landed, sinks
+from salesmart.session import materialise, scratch, shared_dir
+from salesmart.sources import landed, sinks, storage
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -124,3 +124,47 @@ def test_missing_columns_reports_groups_that_have_nothing(spark):
     groups = spark.createDataFrame([(1,), (2,), (3,)], "g int")
     got = quality.missing_columns(["b", "a"], present, ["g"], groups=groups).collect()
     assert {r["g"]: r["missing_columns"] for r in got} == {2: "a", 3: "a, b"}
+
+
+def test_written_order_is_checked_inside_and_between_files(spark, tmp_path):
+    good = spark.range(1, 250_001).selectExpr("id % 3 AS g", "CASE WHEN id % 9 = 0 THEN NULL ELSE id END AS v", "id")
+    path = str(tmp_path / "good")
+    good.repartitionByRange(5, F.col("g").desc(), F.col("v"), "id").sortWithinPartitions(F.col("g").desc(), F.col("v"), "id").write.parquet(path)
+    rows = landed.read_ordered(spark, path)
+    order = [("g", True), ("v", False), ("id", False)]
+    assert rows.agg(F.count_distinct("position"), F.max("position")).first() == (250_000, 250_000)
+    assert landed.out_of_order(rows, order).isEmpty()
+    # The last row of the first range of 100,000 positions now belongs before it.
+    moved = rows.withColumn("v", F.when(F.col("position") == 100_001, -1).otherwise(F.col("v")))
+    assert [r["position"] for r in landed.out_of_order(moved, order).collect()] == [100_001]
+    assert landed.out_of_order(rows, [("id", False)]).count() > 0
+
+
+def test_lineage_of_one_import_opens_its_folders_only(spark, tmp_path):
+    rows = spark.range(40).selectExpr("CAST(id % 4 AS INT) AS import_file_id", "CAST(id AS INT) AS row_number")
+    for name, df in (("staging", rows), ("raw", rows.filter("row_number <> 6"))):
+        sinks.append_import(df, str(tmp_path / name))
+    staging, raw = (spark.read.parquet(str(tmp_path / n)) for n in ("staging", "raw"))
+    got = quality.lineage_delta(staging, {"raw": (raw, ["import_file_id", "row_number"])}, 2)
+    assert {(r["problem"], r["rows"]) for r in got.collect()} == {("missing", 0), ("orphan", 1)}
+    filters = got._jdf.queryExecution().sparkPlan().toString().split("PartitionFilters: [")[1:]
+    assert len(filters) >= 3 and all("import_file_id" in f.split("]")[0] for f in filters), filters
+
+
+def test_scratch_removes_what_a_job_wrote(spark):
+    with scratch(spark) as folder:
+        kept = materialise(spark.range(3))
+        assert kept.count() == 3 and storage.exists(spark, folder)
+    assert not storage.exists(spark, folder)
+    with pytest.raises(ZeroDivisionError), scratch(spark) as folder:
+        materialise(spark.range(3))
+        raise ZeroDivisionError
+    assert not storage.exists(spark, folder)
+
+
+def test_outlier_rows(spark):
+    df = spark.createDataFrame([(3070, 152, "100", "4.95")], "shop_visitor_count int, buyer_count int, s string, r string").selectExpr(
+        "1 as shop_id", "date'2025-01-01' as sales_date", "*", "cast(s as decimal(14,2)) gross_sales_amount", "cast(r as decimal(12,6)) conversion_rate",
+        "cast(null as decimal(14,2)) avg_order_value", "cast(0.03 as decimal(14,2)) uv_value",
+    )
+    assert [(r["metric"], float(r["source"]), float(r["derived"])) for r in quality.metric_outliers(df).collect()] == [("conversion_rate", 4.95, 0.0495)]
