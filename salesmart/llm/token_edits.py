@@ -53,10 +53,34 @@ class TokenTree:
         pieces = counter.pattern.findall(text)
         tokens = [counter[p] for p in pieces]
         self.parts = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
+        self._sum([sum(tokens[i * LEAF : (i + 1) * LEAF]) for i in range(len(self.parts))])
+
+    @classmethod
+    def stored(cls, text: str, lengths: list[int], leaves: list[int], tokens: list[int], counter: Counter) -> TokenTree:
+        """The tree that ``dump`` described: pre-tokens are cut by their lengths, and nothing is matched or encoded."""
+        tree = cls.__new__(cls)
+        tree.counter, tree.encoded, tree.parts = counter, 0, []
+        at = k = 0
+        for n in leaves:
+            part = []
+            for length in lengths[k : k + n]:
+                part.append(text[at : at + length])
+                at += length
+            k += n
+            tree.parts.append(part)
+        tree._sum(tokens)
+        return tree
+
+    def dump(self) -> tuple[list[int], list[int], list[int]]:
+        """Characters of each pre-token, and pre-tokens and tokens of each leaf."""
+        lengths = [len(p) for part in self.parts for p in part]
+        return lengths, [len(part) for part in self.parts], self.tokens[self.size : self.size + len(self.parts)]
+
+    def _sum(self, tokens: list[int]) -> None:
         self.size = 1 << (len(self.parts) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
         for i, leaf in enumerate(self.parts):
-            self.chars[self.size + i], self.tokens[self.size + i] = len("".join(leaf)), sum(tokens[i * LEAF : (i + 1) * LEAF])
+            self.chars[self.size + i], self.tokens[self.size + i] = len("".join(leaf)), tokens[i]
         for node in range(self.size - 1, 0, -1):
             self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
             self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
@@ -191,6 +215,81 @@ def recount(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return rows.mapInArrow(_recount(vocabulary), "doc_id long, text_key long, n_tokens long, n_after long, n_pretokens long, n_encoded long, n_edits long")
 
 
+# --- stored trees --------------------------------------------------------------------------------------------------------
+
+_TREE = "lengths array<int>, leaves array<int>, tokens array<int>"
+
+
+def _ints(rows: list[list[int]]) -> pa.Array:
+    return pa.array(rows, pa.list_(pa.int32()))
+
+
+def _build(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(path)
+        for batch in batches:
+            out, totals = [], []
+            for text in batch.column("text").to_pylist():
+                tree = TokenTree(text, counter)
+                out.append(tree.dump())
+                totals.append(tree.n_tokens)
+            columns = [_ints([o[i] for o in out]) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(totals, pa.int64()), *columns], names=[*batch.schema.names, "n_tokens", "lengths", "leaves", "tokens"])
+
+    return run
+
+
+def build_trees(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, text_key, text, n_tokens and the leaves of its tree (lengths, leaves, tokens) of every row: a table to keep.
+
+    Null texts are empty; rows that repeat an id and a text have equal trees. Nothing is shuffled."""
+    rows = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "xxhash64(coalesce(text, '')) AS text_key", "coalesce(text, '') AS text")
+    return rows.mapInArrow(_build(vocabulary), f"doc_id long, text_key long, text string, n_tokens long, {_TREE}")
+
+
+def _apply(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(path)
+        names = ["n_after", "n_pretokens", "n_encoded", "n_edits"]
+        for batch in batches:
+            texts, trees, counts = [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("text", "lengths", "leaves", "tokens", "edits")]
+            for text, lengths, leaves, tokens, edits in zip(*columns, strict=True):
+                tree = TokenTree.stored(text, lengths, leaves, tokens, counter)
+                done = [e for e in edits or [] if e and e["start"] is not None]
+                done.sort(key=lambda e: e["start"], reverse=True)
+                for e in done:
+                    tree.edit(e["start"], e["length"] or 0, e["text"] or "")
+                texts.append(tree.text)
+                trees.append(tree.dump())
+                counts.append((tree.n_tokens, len(lengths), tree.encoded, len(done)))
+            kept = [batch.column(c) for c in ("doc_id", "text_key", "n_tokens")]
+            added = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
+            leaves = [_ints([t[i] for t in trees]) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*kept, *added, pa.array(texts, pa.string()), *leaves], names=["doc_id", "text_key", "n_tokens", *names, "text", "lengths", "leaves", "tokens"])
+
+    return run
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Counts before and after of the edited rows alone, with their new text and tree, from stored trees.
+
+    ``edits`` has one row for each edited text: doc_id, text_key, edits (as for ``recount``). Only these rows are loaded;
+    of their texts only what edits touch is matched and encoded again (n_encoded pre-tokens of n_pretokens). Rows without
+    an id cannot be named and are not edited; edits of texts that are not there change nothing."""
+    joined = trees.join(edits.select("doc_id", "text_key", "edits"), ["doc_id", "text_key"])
+    schema = f"doc_id long, text_key long, n_tokens long, n_after long, n_pretokens long, n_encoded long, n_edits long, text string, {_TREE}"
+    columns = ["doc_id", "text_key", "n_tokens", "text", "lengths", "leaves", "tokens", "edits"]
+    return joined.select(columns).mapInArrow(_apply(vocabulary), schema)
+
+
+def edited_trees(trees: DataFrame, edited: DataFrame) -> DataFrame:
+    """The table of trees after a batch: edited rows with their new tree, all others as they were."""
+    fresh = edited.selectExpr("doc_id", "xxhash64(text) AS text_key", "text", "n_after AS n_tokens", "lengths", "leaves", "tokens")
+    same = trees.join(edited.select("doc_id", "text_key"), ["doc_id", "text_key"], "left_anti")
+    return same.select(fresh.columns).unionByName(fresh)
+
+
 _JUNK = re.compile(r"([%*&$#])\1\1|!!")
 
 

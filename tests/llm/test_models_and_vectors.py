@@ -156,6 +156,38 @@ def test_edits():
             assert tree.n_tokens == len(counter.encode(text))
 
 
+def test_batches_of_edits_on_stored_trees(spark):
+    """Two batches: each loads only its own texts, encodes little, and gives what encoding the whole texts anew gives."""
+    rng = random.Random(11)
+    encode = token_edits.Counter(token_edits.VOCABULARY).encode
+    rows = [(i, t) for i, t in enumerate([*texts(30), "", None, "ba " * 20_000])] + [(3, "another ba na"), (None, "ba"), (5, texts(30)[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trees = token_edits.build_trees(docs)
+    for batch in range(2):
+        table = {(r["doc_id"], r["text_key"]): r for r in trees.collect()}
+        assert sum(1 for _ in trees.collect()) == len(rows)
+        for r in table.values():
+            assert r["n_tokens"] == sum(r["tokens"]) == len(encode(r["text"])) and sum(r["lengths"]) == len(r["text"])
+        chosen = [k for k in sorted(table, key=repr) if k[0] is not None and k[0] % 3 == batch] + ([(32, k[1]) for k in table if k[0] == 32] if batch else [])
+        plans = {}
+        for k in dict.fromkeys(chosen):
+            size, places = len(table[k]["text"]), []
+            for start in sorted(rng.sample(range(size + 1), min(size + 1, 3))):
+                if not places or start >= places[-1][0] + places[-1][1]:
+                    places.append((start, rng.randint(0, 4), rng.choice(["", "x y", " na\n", "'s"])))
+            plans[k] = places
+        edits = spark.createDataFrame([(*k, p) for k, p in plans.items()] + [(999, 1, [(0, 1, "x")])], f"doc_id long, text_key long, edits {token_edits.EDITS}")
+        edited = token_edits.apply_edits(trees, edits)
+        got = edited.collect()
+        assert {(r["doc_id"], r["text_key"]) for r in got} == set(plans)
+        for r in got:
+            text = table[r["doc_id"], r["text_key"]]["text"]
+            for start, length, new in reversed(plans[r["doc_id"], r["text_key"]]):
+                text = text[:start] + new + text[start + length :]
+            assert r["text"] == text and r["n_after"] == len(encode(text)) and r["n_encoded"] <= 40
+        trees = spark.createDataFrame(token_edits.edited_trees(trees, edited).toArrow())
+
+
 def test_edits_of_a_table(spark):
     docs = spark.createDataFrame([(1, "some words"), (2, None), (3, ""), (4, "of%%% signs!!")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in token_edits.recount(token_edits.with_cleaning_edits(docs)).collect()}
