@@ -16,6 +16,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 HOT_KEYS_TRACKED = 10_000
 
+# Rows of the larger side that one task of a keyed join and the sums on top of it gets.
+PART_ROWS = 500_000
+
 
 def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure rows and bytes in one distributed pass and tell whether both are within the limits."""
@@ -27,6 +30,16 @@ def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
+def dealt(frames: list[DataFrame], keys: list[str], rows: int) -> list[DataFrame]:
+    """Frames dealt by the same keys to parts of about ``PART_ROWS`` rows, but to all cores at least.
+
+    A task's memory then stays the same however many ``rows`` there are. Parts of a
+    given size in bytes would hold too many narrow rows for the sums built on them.
+    """
+    parts = max(frames[0].sparkSession.sparkContext.defaultParallelism, math.ceil(rows / PART_ROWS))
+    return [df.repartition(parts, *keys) for df in frames]
+
+
 def hot_keys(rows: DataFrame, keys: list[str], partitions: int) -> dict[int, int]:
     """Hashes of the keys that outgrow a partition, each with the parts it needs (one map-side pass).
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DATASETS
 from ..functions import safe_ratio
+from ..operators.joins import dealt
 from ..operators.windows import latest_date, window_start
 from ..plans.facts import fact_sku_day, upsert_shop_day, upsert_sku_day
 from ..plans.staging import narrow_fact
@@ -56,11 +57,16 @@ def dim_shop(t: Tables) -> DataFrame:
     )
 
 
-def sales_lines(t: Tables, since: dt.date | None = None) -> DataFrame:
-    """Line items with the shop that sold them; ``since`` prunes the scan."""
+def _lines_since(t: Tables, since: dt.date | None = None) -> DataFrame:
     lines = t.spread("lineitem")
     if since is not None:
         lines = lines.filter(F.col("l_shipdate") > F.lit(dt.datetime.combine(since, dt.time())).cast("timestamp_ntz"))
+    return lines
+
+
+def sales_lines(t: Tables, since: dt.date | None = None) -> DataFrame:
+    """Line items with the shop that sold them; ``since`` prunes the scan."""
+    lines = _lines_since(t, since)
     shops = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("shop_id"))
     return lines.join(shops, "l_suppkey").withColumns(
         {
@@ -73,12 +79,14 @@ def sales_lines(t: Tables, since: dt.date | None = None) -> DataFrame:
 def shop_day_clean(t: Tables, since: dt.date | None = None) -> DataFrame:
     """Shop-day measures with traffic; summed per order first, so one distinct count is left.
 
-    Orders are joined before the per-order sum, which then needs no exchange of
-    its own after a shuffled join on the order key.
+    Lines and orders are dealt by order before the join, so the per-order sum
+    needs no exchange of its own. There are about as many per-order sums as
+    lines, so the number of parts, not their size, grows with the lines.
     """
     lines = sales_lines(t, since).select("shop_id", "sales_date", "l_orderkey", "gross", "l_returnflag")
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey"))
     returned = F.when(F.col("l_returnflag") == "R", F.col("gross"))
+    lines, orders = dealt([lines, orders], ["l_orderkey"], _lines_since(t, since).count())
     per_order = (
         lines.join(orders, "l_orderkey")
         .groupBy("shop_id", "sales_date", "l_orderkey", "o_custkey")

@@ -1,11 +1,13 @@
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from salesmart.operators.joins import hot_keys, lookup_join, measured_small
+from salesmart.operators.joins import PART_ROWS, dealt, hot_keys, lookup_join, measured_small
 from salesmart.operators.ranking import Order, Rank, dense_ranks, row_index
+from salesmart.verification import bindings
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +85,30 @@ def test_row_index_is_consecutive(spark):
     df = spark.createDataFrame([(f"k{i:03d}",) for i in range(50)], "k string").repartition(5)
     got = {r["k"]: r["n"] for r in row_index(df, ["k"], "n").collect()}
     assert got == {f"k{i:03d}": i + 1 for i in range(50)}
+
+
+def test_dealt_parts_grow_with_the_rows(spark):
+    """Parts of a fixed number of rows: what one task holds does not grow with the table."""
+    rows = spark.range(1000).withColumn("k", F.col("id") % 50)
+    left, right = dealt([rows, rows.select("k").distinct()], ["k"], rows=40 * PART_ROWS)
+    assert left.rdd.getNumPartitions() == right.rdd.getNumPartitions() == 40
+    assert left.join(right, "k").count() == 1000
+    assert dealt([rows], ["k"], rows=1)[0].rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_shop_days_are_summed_in_parts_by_order(spark, tmp_path, monkeypatch):
+    """Lines of one order meet in one of the parts that their number calls for; NULL orders and repeated keys included."""
+    day = dt.datetime(2000, 1, 2)
+    lines = [(k, 1, 10.0 * k, "R" if k % 2 else "N", day) for k in (1, 1, 2, 3, 4, 5)] + [(None, 1, 1.0, "N", day)]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"),
+        "orders": ([(1, 7), (2, 7), (3, 8), (3, 9), (4, None), (5, 9), (None, 1)], "o_orderkey long, o_custkey long"),
+        "supplier": ([(1, 3)], "s_suppkey long, s_nationkey int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr("salesmart.operators.joins.PART_ROWS", 1)
+    days = bindings.shop_day_clean(bindings.Tables(spark, str(tmp_path)))
+    assert "RepartitionByExpression [l_orderkey" in days._jdf.queryExecution().analyzed().toString()
+    got = days.select("buyer_count", "order_count", F.col("gross_sales_amount").cast("double"), F.col("refund_amount").cast("double"))
+    assert [tuple(r) for r in got.collect()] == [(3, 6, 190.0, 130.0)]
