@@ -127,8 +127,9 @@ def workbook_identity(df: DataFrame, path_col: str) -> DataFrame:
 
 
 def file_fingerprints(spark: SparkSession, glob: str) -> DataFrame:
-    """SHA-256 of every file that matches; each file is hashed in the task that reads it."""
-    files = spark.read.format("binaryFile").load(glob)
+    """SHA-256 of every file that matches, in folders that match also of those below; each file is hashed in the task that
+    reads it. Many folders are listed by the tasks."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
     return files.select(F.col("path").alias("workbook_path"), F.sha2("content", 256).alias("workbook_file_hash"))
 
 

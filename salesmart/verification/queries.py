@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..contracts import CANONICAL_COLUMNS, SHOP_DAILY_LOAD, SHOP_DAILY_SOURCE, SKU_DAILY_LOAD, SKU_SOURCE, SPU_SOURCE
@@ -751,13 +752,19 @@ def dataset_roundtrip(t: Tables) -> DataFrame:
 
 @query("file_fingerprint")
 def file_fingerprint(t: Tables) -> DataFrame:
-    """Suppliers in 64 text files, whatever their number, hashed as landed workbooks are."""
+    """One text file per supplier row, hashed as landed workbooks are."""
     root = _new_path(t, "files")
-    book = (F.col("s_suppkey") % 64).alias("book")
-    names = t.supplier.select(book, "s_suppkey", "s_name").repartition(64, "book").sortWithinPartitions("book", "s_suppkey")
-    names.select("book", "s_name").write.partitionBy("book").text(root)
-    found = landed.file_fingerprints(t.spark, f"{root}/*/*.txt")
-    return found.select(F.regexp_extract("workbook_path", "book=([0-9]+)", 1).cast("bigint").alias("book"), "workbook_file_hash")
+    copy = F.row_number().over(W.partitionBy("s_suppkey").orderBy("s_name"))
+    book = F.concat_ws("-", F.coalesce(F.col("s_suppkey").cast("string"), F.lit("")), copy).alias("book")
+    named = t.supplier.filter("s_name is not null").select(book, "s_name")
+    dealt = named.repartition(4 * t.spark.sparkContext.defaultParallelism, "book")
+    # Files are moved to their place by the tasks, not one by one by the driver; nobody reads them before the job is done.
+    dealt.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("book").text(root)
+    found = landed.file_fingerprints(t.spark, root)
+    number = F.regexp_extract("workbook_path", "book=([0-9]+)-", 1).try_cast("bigint")
+    # A supplier without a name has no file.
+    bare = t.supplier.filter("s_name is null").select("s_suppkey", F.lit(None).cast("string").alias("workbook_file_hash"))
+    return found.select(number.alias("s_suppkey"), "workbook_file_hash").unionByName(bare)
 
 
 @query("published_snapshot")
@@ -822,7 +829,8 @@ def ordered_family(t: Tables) -> DataFrame:
     """The seven datasets written side by side in one pass; positions inside each dataset."""
     root = _new_path(t, "family")
     rows = normalize_family(b.family_rows(t), b.shop_files(t), "b")
-    sinks.write_datasets(sorted_dataset(rows), root)
+    # Sorting samples its input, so the rows are derived once and read twice.
+    sinks.write_datasets(sorted_dataset(materialise(rows)), root)
     placed = landed.read_ordered(t.spark, f"{root}/datasets", ("dataset_code",))
     keys = ["workbook_identifier", "sheet_index", "source_row_number"]
     inv.require_none(landed.out_of_order(placed, [(k, False) for k in keys], ("dataset_code",)), "order of the written rows")
