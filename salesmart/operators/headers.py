@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..contracts import Contract
 from ..functions import clean_excel_date, json_object_text, strip
+from ..session import materialise
+from .joins import lookup_join
 
 
 def with_header_positions(df: DataFrame, cells: str = "cells") -> DataFrame:
@@ -134,11 +136,16 @@ def extra_payload(payload: Column, mapping: Column) -> Column:
 def preview(df: DataFrame, contract: Contract, by: list[str], n: int = 5) -> DataFrame:
     """First ``n`` data rows of each sheet under canonical names; blank where there is no value.
 
-    The row limit sits directly above the window, so every task keeps at most
-    ``n`` rows per sheet before the shuffle.
+    The last row number of each sheet's first ``n`` rows is found from the keys
+    alone, so no task sorts payloads of rows that are not shown. The row limit
+    sits directly above its window, so every task keeps at most ``n`` rows per
+    sheet before the shuffle.
     """
     window = W.partitionBy(*by).orderBy("row_number")
-    first = mapped_values(df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n), contract.field_names)
+    keys = df.select(*by, "row_number").withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n)
+    last = materialise(keys.groupBy(*by).agg(F.max("row_number").alias("_last")))
+    near = lookup_join(df, last, by, "inner", null_safe=True).filter("row_number is null or row_number <= _last").drop("_last")
+    first = mapped_values(near.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n), contract.field_names)
     values = []
     for name in contract.field_names:
         value = F.col(name)
