@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join input even when that costs one more exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8,000 bytes; such stages run faster as separate operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
