@@ -303,7 +303,8 @@ def _build_family(spark: SparkSession, rows: DataFrame, files: DataFrame, root:
     batch = inv.batch_id(files)
     target = sinks.next_version(spark, root)
     resolved = family_headers(rows)
-    sinks.write_datasets(sorted_dataset(normalize_family(rows, files, batch, resolved)), target)
+    # Sorting samples its input, so the rows are derived once and read twice.
+    sinks.write_datasets(sorted_dataset(materialise(normalize_family(rows, files, batch, resolved))), target)
     written = materialise(inv.dataset_row_counts(read_family(spark, target), ["dataset_code", key]))
     sinks.write_manifest(inv.schema_manifest(resolved, batch, written), f"{target}/schema_manifests")
     listed = inv.family_inventory(counts.join(files.drop("workbook_file_hash"), key), batch)
