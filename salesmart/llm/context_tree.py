@@ -96,7 +96,8 @@ def _downward(levels: dict, said: np.ndarray, left: np.ndarray) -> tuple[dict, d
     nodes, one = {}, {}
     for d in sorted(levels):
         node, estimate, share = levels[d]
-        nodes[d], one[d] = node, (said + left * estimate).astype(np.float32)
+        # Kept from 0 and 1, which 32 bits round to where a bit was met some ten million times.
+        nodes[d], one[d] = node, np.clip(said + left * estimate, 6e-8, 1 - 6e-8).astype(np.float32)
         said, left = said + left * share * estimate, left * (1 - share)
         if d + 1 in levels:
             up = np.searchsorted(node, _parent(levels[d + 1][0], d + 1))

@@ -80,6 +80,13 @@ def test_context_tree_is_a_distribution_and_weights_depths():
         assert tree.score(fresh) > -len(fresh) * math.log10(256) / 3
 
 
+def test_scores_stay_finite_after_very_many_equal_bytes():
+    body = np.frombuffer(b"aaaaaaaa", np.uint8)
+    keys, n = np.unique(context_tree.pair_keys(body), return_counts=True)
+    tree = context_tree.ContextTree(keys, n * 1e9, 8)
+    assert math.isfinite(tree.score(np.frombuffer("aaaaaaaaé".encode(), np.uint8)))
+
+
 def test_kt_estimate():
     zeros, ones = np.array([0, 1, 2, 50, 9000]), np.array([0, 0, 3, 20, 4])
     for a, b, got in zip(zeros, ones, context_tree._kt(zeros, ones), strict=True):
