@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio
+from ..session import materialise
+from .joins import lookup_join
 
 
 def duplicate_keys(df: DataFrame, keys: list[str | Column], name: str = "row_count") -> DataFrame:
@@ -141,25 +143,36 @@ def missing_identifiers(staging: DataFrame, columns: list[str], by: list[str]) -
 def identifier_conflicts(staging: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Ids that map to more than one counterpart, for each (id, counterpart) pair.
 
-    Rows equal in all identity columns are folded before they are expanded into
-    one entry per pair; pairs are de-duplicated map-side and then counted per
-    id, so no id's counterparts are gathered in one place.
+    Rows equal in all identity columns are folded and written once. The hub is the
+    column with most pairs. A hub id of one identity has one counterpart in each
+    column and is one counterpart of each of them, so such identities are folded to
+    their other columns and a count. Only the other hub ids are expanded into one
+    entry per pair; entries are de-duplicated map-side and then counted per id, so
+    no id's counterparts are gathered in one place.
     """
-    identities = staging.select(*dict.fromkeys(c for pair in pairs for c in pair)).distinct()
-    entries = F.array(
-        *[
-            F.struct(F.lit(f"{a}->{b}").alias("rule"), F.col(a).alias("id"), F.col(b).alias("counterpart"))
-            for a, b in pairs
-        ]
-    )
-    return (
-        identities.select(F.inline(entries))
-        .filter("id is not null and counterpart is not null")
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    hub = max(columns, key=lambda c: sum(c in pair for pair in pairs))
+    identities = materialise(staging.select(*columns).distinct())
+    counted = identities.filter(F.col(hub).isNotNull()).groupBy(hub).agg(F.count(F.lit(1)).alias("_identities"))
+    repeated = materialise(counted.filter("_identities > 1").select(hub, F.lit(True).alias("_repeated")))
+    tagged = lookup_join(identities, repeated, [hub])
+    others = [c for c in columns if c != hub]
+    folded = materialise(tagged.filter("_repeated is null").groupBy(*others).agg(F.count(hub).alias("_hubs")))
+
+    def entry(a: str, b: str, counterpart: Column) -> Column:
+        return F.struct(F.lit(f"{a}->{b}").alias("rule"), F.col(a).alias("id"), counterpart.alias("counterpart"))
+
+    expanded = tagged.filter("_repeated").select(F.inline(F.array(*[entry(a, b, F.col(b)) for a, b in pairs])))
+    if direct := [entry(a, b, F.col(b)) for a, b in pairs if hub not in (a, b)]:
+        expanded = expanded.unionByName(folded.select(F.inline(F.array(*direct))))
+    found = (
+        expanded.filter("id is not null and counterpart is not null")
         .distinct()
-        .groupBy("rule", "id")
-        .agg(F.count(F.lit(1)).alias("counterparts"))
-        .filter("counterparts > 1")
+        .select("rule", "id", F.lit(1).cast("bigint").alias("counterpart"))
     )
+    if to_hub := [entry(a, b, F.col("_hubs")) for a, b in pairs if b == hub and a != hub]:
+        found = found.unionByName(folded.select(F.inline(F.array(*to_hub))).filter("id is not null"))
+    return found.groupBy("rule", "id").agg(F.sum("counterpart").alias("counterparts")).filter("counterparts > 1")
 
 
 def coverage(df: DataFrame, by: list[str], date_col: str = "sales_date") -> DataFrame:

@@ -168,3 +168,30 @@ def test_outlier_rows(spark):
         "cast(null as decimal(14,2)) avg_order_value", "cast(0.03 as decimal(14,2)) uv_value",
     )
     assert [(r["metric"], float(r["source"]), float(r["derived"])) for r in quality.metric_outliers(df).collect()] == [("conversion_rate", 4.95, 0.0495)]
+
+
+def test_identifier_conflicts_expand_only_ids_with_several_identities(spark, monkeypatch):
+    # Ids 0 to 999 have one identity each, every row comes twice; the last ones have several or lack columns.
+    rows = [(f"s{i}", f"p{i % 5}", f"m{i % 3}", f"t{i % 5}") for i in range(1000)] * 2
+    rows += [("x", "p0", "m9", None), ("x", "p1", "m9", "t1"), ("x", None, None, None), ("y", "p9", None, "t9"), ("y", "p9", None, "t8")]
+    rows += [(None, "p2", "m2", "t0"), (None, "p7", "m7", "t7"), (None, "p7", None, "t6"), (None, None, None, None), ("z", None, "m7", "t5")]
+    names = ["sku", "product", "code", "spec"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    pairs = [("sku", "product"), ("sku", "code"), ("code", "sku"), ("product", "spec"), ("product", "sku")]
+    found: dict = {}
+    for row in (dict(zip(names, r, strict=True)) for r in rows):
+        for a, b in pairs:
+            if row[a] is not None and row[b] is not None:
+                found.setdefault((f"{a}->{b}", row[a]), set()).add(row[b])
+    expected = {(*k, len(v)) for k, v in found.items() if len(v) > 1}
+    written = []
+
+    def counted(frame):
+        out = materialise(frame)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(quality, "materialise", counted)
+    got = [tuple(r) for r in quality.identifier_conflicts(df, pairs).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert written == [1010, 2, 15 + 5]  # identities, hub ids with several, folded identities
