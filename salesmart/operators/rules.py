@@ -1,4 +1,4 @@
-"""The declared rules of the layers as data, and their check with one scan and one shuffle per table."""
+"""The declared rules of the layers as data, and their check with one scan per table and one shuffle."""
 
 from __future__ import annotations
 
@@ -95,70 +95,163 @@ Rule = Unique | Reference | Required
 RULES: list[Rule] = [*UNIQUE, *REFERENCES, *REQUIRED]
 
 
-class _Counted:
-    """How often each key of each rule occurs in one table, with the NULL counts of its columns; written once.
+# References counted beside one copy of their parent's keys: each takes a counter in every key's entry.
+CHILDREN = 2
+# NULL flags that one number holds.
+FLAGS = 60
 
-    Grouping sets expand a row into one entry per set of key columns, which are counted map-side first, so a key with most
-    of the rows is a few entries. The empty set carries the NULL counts.
+_Keys = tuple[str, tuple[str, ...]]
+
+
+def _families(rules: list[Rule]) -> tuple[list[list[_Keys]], dict[Rule, tuple[int, int]]]:
+    """Key columns that are compared with each other, parent first, and the family and position of each rule's columns."""
+    parents: dict[_Keys, dict[_Keys, list[Rule]]] = {}
+    for r in rules:
+        if isinstance(r, Reference):
+            parents.setdefault((r.parent, r.parent_columns), {}).setdefault((r.table, r.columns), []).append(r)
+    families: list[list[_Keys]] = []
+    at: dict[Rule, tuple[int, int]] = {}
+    for parent, children in parents.items():
+        for i in range(0, len(children), CHILDREN):
+            some = list(children)[i : i + CHILDREN]
+            at |= {r: (len(families), n) for n, child in enumerate(some, 1) for r in children[child]}
+            families.append([parent, *some])
+    for r in rules:
+        if isinstance(r, Unique):
+            own = (r.table, r.columns)
+            counted = next(((f, members.index(own)) for f, members in enumerate(families) if own in members), None)
+            if counted is None:
+                counted = (len(families), 0)
+                families.append([own])
+            at[r] = counted
+    return families, at
+
+
+def _slots(types: list[str]) -> list[tuple[str, int]]:
+    """One typed slot for each key part, numbered within its type, so that families share slots."""
+    return [(t, types[:i].count(t)) for i, t in enumerate(types)]
+
+
+def _wide(name: str) -> str:
+    """Whole numbers share the slots of the widest type."""
+    return "bigint" if name in ("tinyint", "smallint", "int") else name
+
+
+class _Entries:
+    """The rows of one table as one entry per set of key columns: family, position in it and the key parts in typed slots.
+
+    Keys with NULL are left out. The table is read once; unpivoting expands each row in its task.
     """
 
-    def __init__(self, table: DataFrame, rules: list[Rule], sets: list[tuple[str, ...]]):
-        self.required = [r.column for r in rules if isinstance(r, Required)]
-        blanks = {c for r in rules if isinstance(r, Unique) for c in r.blank}
-        shown = {c: F.coalesce(F.col(c), F.lit("")) if c in blanks else F.col(c) for s in sets for c in s}
-        self.columns, self.sets = list(shown), list(dict.fromkeys(sets))
-        keys = table.select(*[c.alias(f"k_{n}") for n, c in shown.items()], *[F.col(c).isNull().alias(f"n_{c}") for c in self.required])
-        cols = [F.col(f"k_{c}") for c in self.columns]
-        grouped = keys.groupingSets([*[[F.col(f"k_{c}") for c in s] for s in self.sets], []], *cols)
-        nulls = [F.count_if(f"n_{c}").alias(f"n_{c}") for c in self.required]
-        self.rows = materialise(grouped.agg(F.grouping_id().alias("set"), F.count(F.lit(1)).alias("rows"), *nulls))
+    def __init__(self, table: DataFrame):
+        self.table, self.columns = table, {}
+        self.groups: list[tuple[str, str, dict[tuple[str, int], str]]] = []
 
-    def _number(self, columns: tuple[str, ...]) -> int:
-        return sum(1 << (len(self.columns) - 1 - i) for i, c in enumerate(self.columns) if c not in columns)
+    def _named(self, name: str, column: Column) -> str:
+        self.columns.setdefault(name, column.alias(name))
+        return name
 
-    def keys(self, columns: tuple[str, ...]) -> DataFrame:
-        """The distinct keys without NULL of one set, and their rows."""
-        present = reduce(lambda a, b: a & b, [F.col(f"k_{c}").isNotNull() for c in columns])
-        of_set = self.rows.filter((F.col("set") == self._number(columns)) & present)
-        return of_set.select(*[F.col(f"k_{c}").alias(f"_{i}") for i, c in enumerate(columns)], "rows")
+    def add(self, family: int, position: int, keys: dict[str, Column], types: list[str]) -> None:
+        present = reduce(lambda a, b: a & b, [c.isNotNull() for c in keys.values()])
+        group = self._named(f"family_{family}_{position}", F.when(present, F.lit(family)))
+        parts = [self._named(f"key_{n}_{t}", c.cast(t)) for (n, c), t in zip(keys.items(), types, strict=True)]
+        number = self._named(f"position_{position}", F.lit(position))
+        self.groups.append((group, number, dict(zip(_slots(types), parts, strict=True))))
 
-    def null_counts(self) -> DataFrame:
-        whole = self.rows.filter(F.col("set") == self._number(()))
-        return whole.select(*[F.col(f"n_{c}").alias(c) for c in self.required]).unpivot([], self.required, "columns", "rows")
+    def rows(self, slots: list[tuple[str, int]]) -> DataFrame:
+        listed = [
+            [group, number, *[parts.get(s) or self._named(f"none_{s[0]}", F.lit(None).cast(s[0])) for s in slots]]
+            for group, number, parts in self.groups
+        ]
+        names = ", ".join(["family", "position", *_slot_names(slots)])
+        groups = ", ".join("(" + ", ".join(f"`{c}`" for c in g) + ")" for g in listed)
+        return self.table.sparkSession.sql(
+            f"SELECT {names} FROM {{rows}} UNPIVOT INCLUDE NULLS (({names}) FOR entry IN ({groups})) WHERE family IS NOT NULL",
+            rows=self.table.select(*self.columns.values()),
+        )
 
 
-def _entry(kind: str, table: str, columns: Column, parent: str | None, keys: Column, rows: Column) -> list[Column]:
-    shown = {"kind": F.lit(kind), "table": F.lit(table), "columns": columns, "parent": F.lit(parent).cast("string")}
-    return [*[c.alias(n) for n, c in shown.items()], F.coalesce(keys, F.lit(0)).alias("violating_keys"), F.coalesce(rows, F.lit(0)).alias("violating_rows")]
+def _slot_names(slots: list[tuple[str, int]]) -> list[str]:
+    return [f"key_{i}" for i in range(len(slots))]
+
+
+def _totals(tables: dict[str, DataFrame], rules: list[Rule], families: list[list[_Keys]], flags: dict[str, list[tuple[int, list[str]]]]) -> DataFrame:
+    """Per family: keys and rows that occur twice and that lack a parent, by position; of NULL flags the rows of each combination."""
+    blanks = {(r.table, c) for r in rules if isinstance(r, Unique) for c in r.blank}
+
+    def keys_of(name: str, columns: tuple[str, ...]) -> dict[str, Column]:
+        return {c: F.coalesce(F.col(c), F.lit("")) if (name, c) in blanks else F.col(c) for c in columns}
+
+    entries = {name: _Entries(df) for name, df in tables.items()}
+    slots: dict[tuple[str, int], None] = {}
+    for family, members in enumerate(families):
+        # The types in which all members of the family can be compared.
+        common = reduce(DataFrame.union, [tables[name].select(*keys_of(name, columns).values()) for name, columns in members]).schema
+        types = [_wide(f.dataType.simpleString()) for f in common.fields]
+        slots |= dict.fromkeys(_slots(types))
+        for position, (name, columns) in enumerate(members):
+            entries[name].add(family, position, keys_of(name, columns), types)
+    for name, parts in flags.items():
+        for family, columns in parts:
+            mask = reduce(lambda a, b: a + b, [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(0).cast("bigint") for i, c in enumerate(columns)])
+            slots |= dict.fromkeys(_slots(["bigint"]))
+            entries[name].add(family, 0, {f"flags_{family}": mask}, ["bigint"])
+    order = list(slots)
+    every = reduce(DataFrame.union, [e.rows(order) for e in entries.values() if e.groups])
+    positions = range(max([len(members) for members in families], default=1))
+    counts = [F.count_if(F.col("position") == p).alias(f"n_{p}") for p in positions]
+    keys = every.groupBy("family", *_slot_names(order)).agg(*counts)
+
+    def of(name: str, broken: list[Column]) -> list[Column]:
+        return [
+            F.array(*[F.count_if(b) for b in broken]).alias(f"{name}_keys"),
+            F.array(*[F.coalesce(F.sum(F.when(b, F.col(f"n_{p}"))), F.lit(0)) for p, b in enumerate(broken)]).alias(f"{name}_rows"),
+        ]
+
+    mask = F.lit(None).cast("bigint")
+    if ids := [family for parts in flags.values() for family, _ in parts]:
+        mask = F.when(F.col("family").isin(ids), F.col(_slot_names(order)[order.index(("bigint", 0))]))
+    twice = [F.col(f"n_{p}") > 1 for p in positions]
+    lost = [(F.col(f"n_{p}") > 0) & (F.col("n_0") == 0) for p in positions]
+    return keys.groupBy("family", mask.alias("flags")).agg(F.sum("n_0").alias("rows"), *of("twice", twice), *of("lost", lost))
 
 
 def check(tables: dict[str, DataFrame], rules: list[Rule] = RULES) -> DataFrame:
     """One row per rule: kind, table, columns, parent, violating_keys, violating_rows (all rows of keys that occur twice,
-    rows without parent, rows with NULL). Every table is read once, children and parents alike."""
-    sets: dict[str, list[tuple[str, ...]]] = {name: [] for name in tables}
-    for r in rules:
-        if not isinstance(r, Required):
-            sets[r.table].append(r.columns)
-        if isinstance(r, Reference):
-            sets[r.parent].append(r.parent_columns)
-    counted = {name: _Counted(df, [r for r in rules if r.table == name], sets[name]) for name, df in tables.items()}
-    parts = []
-    for r in rules:
+    rows without parent, rows with NULL). Every table is read once, children and parents alike.
+
+    Keys that are compared with each other are counted together, by table, in one aggregation over all tables: combined
+    map-side, so a key with most of the rows is a few entries, and shuffled once. NULLs are counted by their combinations.
+    """
+    families, at = _families(rules)
+    flags: dict[str, list[tuple[int, list[str]]]] = {}
+    number = len(families)
+    for name in tables:
+        columns = list(dict.fromkeys(r.column for r in rules if isinstance(r, Required) and r.table == name))
+        for i in range(0, len(columns), FLAGS):
+            flags.setdefault(name, []).append((number, columns[i : i + FLAGS]))
+            number += 1
+    totals = materialise(_totals(tables, rules, families, flags))  # a few rows per family
+    listed = []
+    for n, r in enumerate(rules):
         if isinstance(r, Required):
-            continue
-        keys, shown = counted[r.table].keys(r.columns), F.lit(", ".join(r.columns))
-        if isinstance(r, Unique):
-            broken = keys.filter("rows > 1").agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows"))
-            parts.append(broken.select(*_entry("unique", r.table, shown, None, F.col("keys"), F.col("rows"))))
+            family, columns = next((f, c) for f, c in flags[r.table] if r.column in c)
+            listed.append((n, "required", r.table, r.column, None, family, 0, 1 << columns.index(r.column)))
+        elif isinstance(r, Unique):
+            listed.append((n, "unique", r.table, ", ".join(r.columns), None, *at[r], 0))
         else:
-            known = counted[r.parent].keys(r.parent_columns).drop("rows")
-            lost = keys.join(known, known.columns, "left_anti").agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows"))
-            parts.append(lost.select(*_entry("reference", r.table, shown, r.parent, F.col("keys"), F.col("rows"))))
-    for name, c in counted.items():
-        if c.required:
-            null_keys = F.lit(None).cast("bigint")
-            parts.append(c.null_counts().select(*_entry("required", name, F.col("columns"), None, null_keys, F.col("rows"))))
-    return reduce(DataFrame.unionByName, parts)
+            listed.append((n, "reference", r.table, ", ".join(r.columns), r.parent, *at[r], 0))
+    shown = ["kind", "table", "columns", "parent"]
+    types = {"rule": "int", **dict.fromkeys(shown, "string"), "family": "int", "position": "int", "flag": "bigint"}
+    values = [F.struct(*[F.lit(v).cast(t).alias(c) for (c, t), v in zip(types.items(), r, strict=True)]) for r in listed]
+    declared = totals.sparkSession.range(1).select(F.inline(F.array(*values)))
+    unique, reference = F.col("kind") == "unique", F.col("kind") == "reference"
+    keys = F.when(unique, F.get("twice_keys", "position")).when(reference, F.get("lost_keys", "position"))
+    flagged = F.when(F.col("flags").bitwiseAND(F.col("flag")) != 0, F.col("rows"))
+    rows = F.when(unique, F.get("twice_rows", "position")).when(reference, F.get("lost_rows", "position")).otherwise(flagged)
+    found = declared.join(F.broadcast(totals), "family", "left").groupBy("rule", *shown)
+    sums = {"violating_keys": keys, "violating_rows": rows}
+    return found.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()]).select(*shown, *sums)
 
 
 def require(tables: dict[str, DataFrame], rules: list[Rule] = RULES) -> None:

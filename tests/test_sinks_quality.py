@@ -1,11 +1,12 @@
 import csv
 import datetime as dt
 import glob
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from salesmart.operators import joins, quality
+from salesmart.operators import joins, quality, rules
 from salesmart.session import materialise, scratch, shared_dir
 from salesmart.sources import landed, sinks, storage
 
@@ -195,3 +196,57 @@ def test_identifier_conflicts_expand_only_ids_with_several_identities(spark, mon
     got = [tuple(r) for r in quality.identifier_conflicts(df, pairs).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
     assert written == [1010, 2, 15 + 5]  # identities, hub ids with several, folded identities
+
+
+def test_declared_rules_write_totals_instead_of_keys(spark, monkeypatch):
+    # One parent with three children, of other number types, with copies, NULLs and ids without parent.
+    parents = [(i, i % 7, "ab"[i % 2] if i % 5 else None) for i in range(400)] + [(3, 3, "a"), (None, 1, None)]
+    children = {
+        name: [(i % every if i % 9 else None, i % 7, None if i % 4 else "") for i in range(900)] for name, every in (("c1", 300), ("c2", 450), ("c3", 401))
+    }
+    rows = {"p": parents, **children}
+    schema = {"p": "id bigint, part int, mark string", "c1": "id int, part int, mark string", "c2": "id bigint, part bigint, mark string", "c3": "id bigint, part int, mark string"}
+    declared = [
+        rules.Unique("p", ("id",)),
+        rules.Unique("p", ("part", "mark"), blank=("mark",)),
+        rules.Unique("c1", ("id",)),
+        rules.Unique("c2", ("mark", "part")),
+        *[rules.Reference(c, ("id",), "p", ("id",)) for c in children],
+        rules.Reference("c2", ("id", "part"), "p", ("id", "part")),
+        *[rules.Required(t, c) for t in rows for c in ("id", "mark")],
+    ]
+    names = ("id", "part", "mark")
+
+    def keys(table, columns, blank=()):
+        taken = [[r[names.index(c)] for c in columns] for r in rows[table]]
+        filled = [tuple("" if v is None and c in blank else v for c, v in zip(columns, r, strict=True)) for r in taken]
+        return Counter(r for r in filled if None not in r)
+
+    expected = []
+    for r in declared:
+        if isinstance(r, rules.Required):
+            expected.append(("required", r.table, r.column, None, 0, sum(x[names.index(r.column)] is None for x in rows[r.table])))
+            continue
+        own = keys(r.table, r.columns, getattr(r, "blank", ()))
+        if isinstance(r, rules.Unique):
+            broken, shown = [n for n in own.values() if n > 1], ("unique", None)
+        else:
+            known = keys(r.parent, r.parent_columns)
+            broken, shown = [n for k, n in own.items() if k not in known], ("reference", r.parent)
+        expected.append((shown[0], r.table, ", ".join(r.columns), shown[1], len(broken), sum(broken)))
+    written = []
+
+    def counted(frame):
+        out = materialise(frame)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(rules, "materialise", counted)
+    got = rules.check({t: spark.createDataFrame(r, schema[t]) for t, r in rows.items()}, declared)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
+    # Five families (the third child has one of its own) and at most four combinations of NULLs in each of four tables.
+    assert len(written) == 1 and written[0] <= 5 + 4 * 4
+    empty = rules.check({t: spark.createDataFrame([], schema[t]) for t in rows}, declared).collect()
+    assert len(empty) == len(declared) and all((r["violating_keys"], r["violating_rows"]) == (0, 0) for r in empty)
+    with pytest.raises(ValueError, match="rules are broken"):
+        rules.require({t: spark.createDataFrame(r, schema[t]) for t, r in rows.items()}, declared)
